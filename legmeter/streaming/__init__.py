@@ -1,0 +1 @@
+"""Empty on purpose: every run is a batch over a time window, re-run safely by the keyed merge."""
