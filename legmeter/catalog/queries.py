@@ -63,8 +63,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+_OPENED: dict[tuple[str, str], StandIns] = {}
+
+
+def stand_ins(spark: SparkSession, sf_dir: str) -> StandIns:
+    """The views over a folder, defined once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPENED or _OPENED[key].spark is not spark:
+        _OPENED[key] = StandIns(spark, sf_dir)
+    return _OPENED[key]
+
+
 def query(build: Callable[[StandIns], DataFrame]) -> Callable[[StandIns], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(StandIns(spark, sf_dir))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(stand_ins(spark, sf_dir))
     return build
 
 
@@ -329,7 +340,7 @@ def order_number_market(s: StandIns) -> DataFrame:
 
 
 QUERIES["batch_max"] = lambda spark, sf_dir: batch_max(
-    market.padded_market_rows(StandIns(spark, sf_dir).tables, WINDOW)
+    market.padded_market_rows(stand_ins(spark, sf_dir).tables, WINDOW)
 )
 
 RETURN_COLUMNS = ["order_id", "step", "is_return", "from_lon", "from_lat", "to_lon", "to_lat"]
@@ -620,13 +631,9 @@ def run_counts(s: StandIns) -> DataFrame:
 
 @query
 def run_osrm(s: StandIns) -> DataFrame:
-    """A whole run over market and water: rows and km per label and step."""
-    lines = [
-        legs_with_return(market.legs_market(s.tables, WINDOW)),
-        with_step(water.legs_water(s.tables, WINDOW, REASONS)),
-    ]
-    prices = table_prices(finalize.all_legs(*lines))
-    legs = job.run(s.tables, JobConfig("osrm", WINDOW, UPDATED_AT, line="1"), prices)["leg_distances"]
+    """A whole run over market and water, straight-line priced: legs and km per label and step."""
+    config = JobConfig("osrm", WINDOW, UPDATED_AT, line="1")
+    legs = job.run(s.tables, config, GreatCircle(metres_per_second=8.0))["leg_distances"]
     return legs.groupBy("distance_type", "step").agg(
-        F.count(F.lit(1)).alias("legs"), F.round(F.sum("distance"), 3).alias("km")
+        F.count(F.lit(1)).alias("legs"), F.round(F.sum("distance"), 6).alias("km")
     )

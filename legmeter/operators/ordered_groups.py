@@ -3,9 +3,8 @@
 A plain window sorts each group in one task. A group can be huge here: orders without a courier all
 share one group, and so do those of a warehouse that dwarfs the others. Groups above a row limit are
 therefore cut into time pieces. Each piece is its own window partition, and a small summary per piece
-(its last row, its row count) carries the state to the next one. All other groups stay whole, so
-their plan is the plain window's; without any large group the summary side is empty and adaptive
-execution drops it.
+(its last row, its row count) carries the state to the next one. All other groups stay whole, and
+without any large group the plan is the plain window's.
 """
 
 from __future__ import annotations
@@ -36,17 +35,27 @@ class OrderedGroups:
         day: str | None = None,
         policy: SplitPolicy = SplitPolicy(),
         name: str = "piece",
+        count_by: list[str] | None = None,
     ):
         self.keys, self.order, self.day, self.policy = keys, order, day, policy
+        self.count_by = count_by or keys
         self.piece = f"_{name}"
+        self.is_split = False
 
     def mark(self, df: DataFrame) -> DataFrame:
-        """Add the piece number: 0 for ordinary groups, 1, 2, … along the order in large ones."""
+        return mark_groups(df, self)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Add the piece number: 0 for ordinary groups, 1, 2, … along the order in large ones.
+
+        The list of large groups, which the policy bounds, says how to cut. Rows outside the counted
+        range fall into the outer pieces, so any list gives the same result.
+        """
         if isinstance(df.schema[self.order[0]].dataType, (T.TimestampNTZType, T.TimestampType)):
             position = clock_seconds(F.coalesce(F.col(self.order[0]), F.col(self.order[1])))
         else:
             position = F.col(self.order[0]).cast("long")
-        large = (
+        counted = (
             df.groupBy(*self.keys)
             .agg(
                 F.count(F.lit(1)).alias("_rows"),
@@ -57,26 +66,33 @@ class OrderedGroups:
             .orderBy(F.col("_rows").desc())
             .limit(self.policy.keys)
         )
-        # One small table: the sum over it decides how many rows a piece must hold at least.
-        per_piece = F.greatest(
-            F.lit(self.policy.rows).cast("double"), F.sum("_rows").over(Window.partitionBy()) / self.policy.pieces
+        large = counted.collect()
+        if not large:
+            return df.withColumn(self.piece, F.lit(0))
+        self.is_split = True
+        per_piece = max(self.policy.rows, sum(row["_rows"] for row in large) / self.policy.pieces)
+        side = df.sparkSession.createDataFrame(large, counted.schema).withColumn(
+            "_pieces", F.ceil(F.col("_rows") / per_piece)
         )
-        large = large.withColumn("_pieces", F.ceil(F.col("_rows") / per_piece))
-        marked = self._attach(df, large, self.keys)
-        pieces = F.col("_pieces")
         span = F.col("_hi") - F.col("_lo") + 1
         offset = F.coalesce(position, F.col("_lo")) - F.col("_lo")
-        number = F.floor(offset * pieces / span) + 1 + F.when(F.col(self.order[0]).isNull(), pieces).otherwise(0)
-        return marked.withColumn(
-            self.piece, F.when(F.col("_rows").isNull(), F.lit(0)).otherwise(number).cast("int")
-        ).drop("_rows", "_lo", "_hi", "_pieces")
+        number = F.floor(offset * F.col("_pieces") / span)
+        inside = F.least(F.greatest(number, F.lit(0)), F.col("_pieces") - 1) + 1
+        late = F.when(F.col(self.order[0]).isNull(), F.col("_pieces")).otherwise(0)
+        piece = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(inside + late)
+        return (
+            self._attach(df, side, self.keys)
+            .withColumn(self.piece, piece.cast("int"))
+            .drop("_rows", "_lo", "_hi", "_pieces")
+        )
 
     def previous(self, df: DataFrame, marked: DataFrame, values: dict[str, str]) -> DataFrame:
         """Add for each ``new: column`` the value of the row before. ``marked`` is ``mark``'s output."""
         window = self._window()
-        out = df.withColumn("_first", F.row_number().over(window) == 1)
-        for new, column in values.items():
-            out = out.withColumn(new, F.lag(column, 1).over(window))
+        out = df.withColumns({new: F.lag(column, 1).over(window) for new, column in values.items()})
+        if not self.is_split:
+            return out
+        out = out.withColumn("_first", F.row_number().over(window) == 1)
         carried = F.max_by(
             F.struct(*[F.col(column).alias(new) for new, column in values.items()]),
             F.struct(*self.order),
@@ -96,6 +112,9 @@ class OrderedGroups:
         """Add the row number within the group, or within the group's day if ``day`` is set."""
         inner = [self.day] if self.day else []
         window = Window.partitionBy(*self.keys, self.piece, *inner).orderBy(*self._ascending())
+        out = df.withColumn(new, F.row_number().over(window))
+        if not self.is_split:
+            return out
         along = (
             Window.partitionBy(*self.keys, *inner)
             .orderBy(self.piece)
@@ -104,7 +123,6 @@ class OrderedGroups:
         carry = self._summary(marked, inner, F.count(F.lit(1)).alias("_count")).select(
             *self.keys, *inner, self.piece, F.sum("_count").over(along).alias("_before")
         )
-        out = df.withColumn(new, F.row_number().over(window))
         out = self._attach(out, carry, [*self.keys, *inner, self.piece])
         return out.withColumn(new, (F.col(new) + F.coalesce(F.col("_before"), F.lit(0))).cast("int")).drop("_before")
 
@@ -115,6 +133,9 @@ class OrderedGroups:
             .orderBy(*[F.col(name).desc_nulls_first() for name in self.order])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
+        out = df.withColumn(new, F.last(column, ignorenulls=True).over(backwards))
+        if not self.is_split:
+            return out
         first = F.min_by(F.col(column), F.when(F.col(column).isNotNull(), F.struct(*self.order))).alias("_firstvalue")
         along = (
             Window.partitionBy(*self.keys)
@@ -124,7 +145,6 @@ class OrderedGroups:
         carry = self._summary(marked, [], first).select(
             *self.keys, self.piece, F.last("_firstvalue", ignorenulls=True).over(along).alias("_later")
         )
-        out = df.withColumn(new, F.last(column, ignorenulls=True).over(backwards))
         out = self._attach(out, carry, [*self.keys, self.piece])
         return out.withColumn(new, F.coalesce(F.col(new), F.col("_later"))).drop("_later")
 
@@ -144,3 +164,19 @@ class OrderedGroups:
         side = F.broadcast(side.withColumnsRenamed({name: f"_on_{name}" for name in on}))
         condition = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on])
         return df.join(side, condition, "left").drop(*[f"_on_{name}" for name in on])
+
+
+def mark_groups(df: DataFrame, *groupings: OrderedGroups) -> DataFrame:
+    """Add the piece number of every grouping.
+
+    One pass over the key columns counts the groups of all of them. As a rule none is large; then
+    nothing else is added to the plan.
+    """
+    sets = [[F.col(name) for name in grouping.count_by] for grouping in groupings]
+    names = dict.fromkeys(name for grouping in groupings for name in grouping.count_by)
+    limit = min(grouping.policy.rows for grouping in groupings)
+    counts = df.groupingSets(sets, *[F.col(name) for name in names]).agg(F.count(F.lit(1)).alias("_rows"))
+    none_large = counts.filter(F.col("_rows") > limit).select("_rows").isEmpty()
+    for grouping in groupings:
+        df = df.withColumn(grouping.piece, F.lit(0)) if none_large else grouping.cut(df)
+    return df

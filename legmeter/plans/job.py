@@ -126,9 +126,8 @@ def run(tables: Tables, config: JobConfig, provider=None, feed_path: str | None
         results["gps_distances"] = finalize_gps(measured, config.updated_at)
         results["route_points"] = gps.gps_routes(tables, config.window, config.warehouses)
     if config.mode == "partner":
-        spark = tables.marketorders.sparkSession
         feed = read_partner_feed(
-            spark,
+            SparkSession.active(),
             feed_path,
             feed_window(config.mode, config.window),
             config.updated_at,

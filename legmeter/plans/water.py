@@ -22,7 +22,7 @@ from legmeter.config import (
     SplitPolicy,
 )
 from legmeter.functions.timing import day_number, to_home_zone, to_zone, within
-from legmeter.operators.ordered_groups import OrderedGroups
+from legmeter.operators.ordered_groups import OrderedGroups, mark_groups
 from legmeter.operators.orders import in_warehouses, market_rows, start_point, with_zone
 from legmeter.sources.tables import Tables
 
@@ -49,9 +49,9 @@ def vehicle_sequence(rows: DataFrame, by_effective_date: bool = False, policy: S
     )
     order = ["_time", "eff_date", "order_id"]
     vehicles = OrderedGroups(["courier_fleetvehicle_oid", "warehouse_id"], order, policy=policy, name="vehicle_piece")
-    couriers = OrderedGroups(["_day", "courier_id"], order, policy=policy, name="courier_piece")
+    couriers = OrderedGroups(["_day", "courier_id"], order, policy=policy, name="courier_piece", count_by=["courier_id"])
     # Both marks come before the first window, so that neither counts over a windowed plan.
-    marked = couriers.mark(vehicles.mark(timed))
+    marked = mark_groups(timed, vehicles, couriers)
     found = vehicles.previous(marked, marked, {"prev_lon": "to_lon", "prev_lat": "to_lat"})
     numbered = couriers.number(found, marked, "order_number")
     return numbered.drop("_day", "_time", vehicles.piece, couriers.piece)

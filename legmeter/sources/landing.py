@@ -120,4 +120,5 @@ def load_error_report(errors: DataFrame, loads: DataFrame, rows: int = ERROR_REP
 def write_check_tables(folder: str, **results: DataFrame) -> None:
     """One CSV folder per result, with readable column titles, instead of an upsert."""
     for name, rows in results.items():
-        title_case_columns(rows).write.option("header", True).csv(f"{folder.rstrip('/')}/{name}")
+        sheet = title_case_columns(rows).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        sheet.csv(f"{folder.rstrip('/')}/{name}")

@@ -190,6 +190,4 @@ class StandIns:
 
     @cached_property
     def tables(self) -> Tables:
-        from dataclasses import fields
-
-        return Tables(**{f.name: self.frame(f.name) for f in fields(Tables)})
+        return Tables(self.frame)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,35 +37,46 @@ FEED_LAYOUT = _layout(
 )
 
 
-@dataclass(frozen=True)
+# Names of the input tables; the three ``*_distances`` tables are results that later runs read.
+INPUT_TABLES = (
+    "marketorders",
+    "food_orders",
+    "artisan_orders",
+    "courier_tasks",
+    "warehouses",
+    "warehouse_locations",
+    "warehouse_domaintypes",
+    "courier_status_logs",
+    "orders_distances",
+    "routes_market",
+    "fleet_vehicle_km_logs",
+    "leg_distances",
+    "food_distances",
+    "artisan_distances",
+)
+
+
 class Tables:
-    """The tables a run reads. Frames are lazy; only the columns a plan names are scanned."""
-
-    marketorders: DataFrame
-    food_orders: DataFrame
-    artisan_orders: DataFrame
-    courier_tasks: DataFrame
-    warehouses: DataFrame
-    warehouse_locations: DataFrame
-    warehouse_domaintypes: DataFrame
-    courier_status_logs: DataFrame
-    orders_distances: DataFrame
-    routes_market: DataFrame
-    fleet_vehicle_km_logs: DataFrame
-    leg_distances: DataFrame
-    food_distances: DataFrame
-    artisan_distances: DataFrame
+    """The tables a run reads, as attributes. A table is opened when a plan first names it."""
+
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load = load
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in INPUT_TABLES:
+            raise AttributeError(name)
+        frame = self._load(name)
+        self.__dict__[name] = frame
+        return frame
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **paths: str) -> "Tables":
         """Every table from ``root/<name>``, unless ``paths`` names another place for it."""
-        return cls(
-            **{f.name: spark.read.parquet(paths.get(f.name, f"{root.rstrip('/')}/{f.name}")) for f in fields(cls)}
-        )
+        return cls(lambda name: spark.read.parquet(paths.get(name, f"{root.rstrip('/')}/{name}")))
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, schema: str, **names: str) -> "Tables":
-        return cls(**{f.name: spark.table(names.get(f.name, f"{schema}.{f.name}")) for f in fields(cls)})
+        return cls(lambda name: spark.table(names.get(name, f"{schema}.{name}")))
 
 
 def conform(df: DataFrame, layout: T.StructType) -> DataFrame:
