@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from legmeter.catalog.queries import FLEET_DAYS, RETENTION_START, SOME_WAREHOUSES, UPDATED_AT, WINDOW
+from legmeter.catalog.queries import FLEET_DAYS, RETENTION_START, SOME_WAREHOUSES, TRIP_POINTS, UPDATED_AT, WINDOW
 from legmeter.operators.legs import TRIP_LEGS
 from legmeter.sources.standins import VIEWS, render
 
@@ -187,21 +187,12 @@ from {table} o join warehouse_locations on {place} = warehouse left join {distan
 where {between_dates(time)} and {eligible("courier_oid", "canceldate")} and {kind} and ({gaps})"""
 
 
-TRIP_POINTS = dict(
-    zip(
-        TRIP_LEGS,
-        (
-            ("warehouse_lon", "warehouse_lat", "restaurant_lon", "restaurant_lat"),
-            ("restaurant_lon", "restaurant_lat", "to_lon", "to_lat"),
-            ("to_lon", "to_lat", "warehouse_lon", "warehouse_lat"),
-        ),
-    )
-)
+LEG_POINTS = dict(zip(TRIP_LEGS, TRIP_POINTS))
 
 
 def trip_priced(orders: str) -> str:
-    metres = ", ".join(f"{price(*TRIP_POINTS[leg])} as {leg}" for leg in TRIP_LEGS)
-    seconds = ", ".join(f"{price(*TRIP_POINTS[leg])} / 8 as {leg}_duration" for leg in TRIP_LEGS)
+    metres = ", ".join(f"{price(*LEG_POINTS[leg])} as {leg}" for leg in TRIP_LEGS)
+    seconds = ", ".join(f"{price(*LEG_POINTS[leg])} / 8 as {leg}_duration" for leg in TRIP_LEGS)
     return f"select *, {metres}, {seconds} from {orders}"
 
 
@@ -524,9 +515,7 @@ select log_id, refill_lon, refill_lat, round(metres, 6) as distance, round(metre
     "task_batch_index_completed": "select * from completed_tasks",
     "trip_legs_food": f"select order_id, {trip_columns()}, 'osrm' as distance_type from ({trip_priced('food_info')}) as p",
     "trip_legs_artisan": f"""
-select distinct on (all_columns) * exclude (all_columns) from (
-  select order_id, batch_index, {trip_columns()}, 'osrm' as distance_type, p as all_columns
-  from ({trip_priced('artisan_info')}) as p) as q""",
+select order_id, batch_index, {trip_columns()}, 'osrm' as distance_type from ({trip_priced('artisan_info')}) as p""",
     "finalize_food": "select * from food_final",
     "finalize_artisan": "select * from artisan_final",
     "avg_distance_market": "select warehouse_id, round(avg_distance, 6) as avg_distance from market_avg",

@@ -46,6 +46,11 @@ from legmeter.sources.templates import run_sql
 
 # The stand-in month starts on 1 January; its first day is what the look-backs read.
 WINDOW = RunWindow("1998-01-02 00:00:00", "1998-02-01 00:00:00")
+TRIP_POINTS = (
+    ("warehouse_lon", "warehouse_lat", "restaurant_lon", "restaurant_lat"),
+    ("restaurant_lon", "restaurant_lat", "to_lon", "to_lat"),
+    ("to_lon", "to_lat", "warehouse_lon", "warehouse_lat"),
+)
 UPDATED_AT = "1998-02-01 00:00:00"
 RETENTION_START = "1998-02-20 00:00:00"
 SOME_WAREHOUSES = ("W1", "W3", "W8")
@@ -83,28 +88,20 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def table_prices(legs: DataFrame, points=LEG_POINTS) -> TablePrices:
+def table_prices(legs: DataFrame, *point_sets: tuple[str, str, str, str]) -> TablePrices:
     """Stand-in road table over the legs at hand; about a seventh of them is left out."""
     lon1, lat1, lon2, lat2 = [F.col(name) for name in LEG_POINTS]
     metres = F.round(F.abs(lon2 - lon1) * 85000 + F.abs(lat2 - lat1) * 111000, 3)
-    pairs = legs.select(*[F.col(point).alias(name) for point, name in zip(points, LEG_POINTS)]).distinct()
-    known = pairs.filter(F.round(lon2 * 1000).cast("long") % 7 != 0)
+    pairs = F.array(
+        *[
+            F.struct(*[F.col(point).alias(name) for point, name in zip(points, LEG_POINTS)])
+            for points in point_sets or (LEG_POINTS,)
+        ]
+    )
+    known = legs.select(F.inline(pairs)).filter(F.round(lon2 * 1000).cast("long") % 7 != 0).distinct()
     return TablePrices(known.withColumn("distance", metres).withColumn("duration", metres / 8))
 
 
-def trip_prices(orders: DataFrame) -> TablePrices:
-    points = {
-        "store": ("warehouse_lon", "warehouse_lat"),
-        "rest": ("restaurant_lon", "restaurant_lat"),
-        "client": ("to_lon", "to_lat"),
-    }
-    parts = [
-        orders.select(*[F.col(c).alias(n) for c, n in zip(points[a] + points[b], LEG_POINTS)])
-        for a, b in (("store", "rest"), ("rest", "client"), ("client", "store"))
-    ]
-    return table_prices(reduce(DataFrame.unionByName, parts))
-
-
 def ask_prices(legs: pd.DataFrame, attempt: int) -> pd.DataFrame:
     """Stand-in for a road service: some legs answer only when asked again, some never."""
     metres = (
@@ -132,7 +129,7 @@ def priced_refill(s: StandIns) -> DataFrame:
 
 
 def priced_trips(orders: DataFrame) -> DataFrame:
-    return trip_legs(orders, trip_prices(orders))
+    return trip_legs(orders, table_prices(orders, *TRIP_POINTS))
 
 
 # --- scans, sources, sinks ---------------------------------------------------------------------

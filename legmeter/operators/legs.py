@@ -65,28 +65,13 @@ def predict_missing(priced: DataFrame) -> DataFrame:
 def trip_legs(orders: DataFrame, provider) -> DataFrame:
     """Distance and duration of store-restaurant, restaurant-client and client-store per order.
 
-    A row-local provider is applied in place. Otherwise the three legs go through one lookup together
-    and come back in one aggregation; rows equal in every column become one.
+    Three lookups in a row: each moves the orders once at most, and a table's side of the shuffle is
+    reused. Exploding into legs and folding back would move three times the rows twice.
     """
-    if provider.row_local:
-        priced = orders
-        for leg in TRIP_LEGS:
-            priced = provider.price(priced, _TRIP_POINTS[leg], leg, f"{leg}_duration")
-    else:
-        legs = F.array(
-            *[
-                F.struct(
-                    F.lit(leg).alias("leg"),
-                    *[F.col(point).alias(name) for point, name in zip(_TRIP_POINTS[leg], ("_x1", "_y1", "_x2", "_y2"))],
-                )
-                for leg in TRIP_LEGS
-            ]
-        )
-        found = provider.price(orders.select("*", F.inline(legs)), ("_x1", "_y1", "_x2", "_y2"), "_m", "_s")
-        priced = found.groupBy(*orders.columns).agg(
-            *[F.max(F.when(F.col("leg") == leg, F.col("_m"))).alias(leg) for leg in TRIP_LEGS],
-            *[F.max(F.when(F.col("leg") == leg, F.col("_s"))).alias(f"{leg}_duration") for leg in TRIP_LEGS],
-        )
+    priced = orders
+    prices = provider.prepared(orders, list(_TRIP_POINTS.values()))
+    for leg, points in _TRIP_POINTS.items():
+        priced = prices.price(priced, points, leg, f"{leg}_duration")
     return priced.withColumn("distance_type", F.lit(provider.label))
 
 

@@ -1,7 +1,7 @@
 """Prices for legs: a distance table, a user function called in batches, or straight lines.
 
-A provider has ``label`` (what its distances are called), ``row_local`` (true if pricing needs no
-shuffle) and ``price``.
+A provider has ``label`` (what its distances are called), ``price``, and ``prepared``, which gives the
+provider to use when the same rows are priced for several pairs of points.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,9 @@ class TablePrices:
 
     prices: DataFrame
     label: str = ROAD
-    row_local: bool = False
+
+    def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "TablePrices":
+        return self
 
     def price(
         self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
@@ -62,7 +65,9 @@ class GreatCircle:
 
     metres_per_second: float | None = None
     label: str = "haversine"
-    row_local: bool = True
+
+    def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "GreatCircle":
+        return self
 
     def price(
         self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
@@ -83,43 +88,45 @@ class BatchPrices:
     The function returns ``distance`` and ``duration`` for each leg, null where it found none. Legs
     still null are asked again, up to ``rounds`` attempts. Every distinct leg is asked once and the
     answers are written to the work folder, so that neither a later action nor a lost executor asks
-    again. ``parallel`` bounds the number of calls under way at once.
+    again. At most ``parallel`` calls are under way at once.
     """
 
     function: PriceFunction
     legs_per_call: int = LEGS_PER_CALL
     rounds: int = 3
-    parallel: int | None = None
+    parallel: int = 32
     label: str = ROAD
-    row_local: bool = False
 
-    def price(
-        self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
-    ) -> DataFrame:
-        legs = df.select(*_leg_keys(points)).dropna().distinct()
-        if self.parallel:
-            legs = legs.repartition(self.parallel, *_KEYS)
+    def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> TablePrices:
+        """Ask for the legs between all given points of ``df`` and keep the answers."""
+        found = F.array(*[F.struct(*_leg_keys(points)) for points in point_sets])
+        legs = df.select(F.inline(found)).dropna().distinct().repartition(self.parallel, *_KEYS)
         asked = legs.select(*[(F.col(key) / MICRO).alias(name) for key, name in zip(_KEYS, LEG_POINTS)])
         priced = asked.mapInPandas(
             _asker(self.function, self.legs_per_call, self.rounds),
             "from_lon double, from_lat double, to_lon double, to_lat double, distance double, duration double",
         )
-        return TablePrices(materialise(priced, "prices"), self.label).price(df, points, distance, duration)
+        return TablePrices(materialise(priced, "prices"), self.label)
+
+    def price(
+        self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
+    ) -> DataFrame:
+        return self.prepared(df, [points]).price(df, points, distance, duration)
 
 
 def _asker(function: PriceFunction, size: int, rounds: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The task side: full calls of ``size`` legs; each further round asks only for what is missing."""
+
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for first in range(0, len(frame), size):
-                legs = frame.iloc[first : first + size].reset_index(drop=True)
-                result = legs.assign(distance=float("nan"), duration=float("nan"))
-                for attempt in range(rounds):
-                    missing = result.index[result["distance"].isna()]
-                    if missing.empty:
-                        break
-                    answer = function(legs.loc[missing].reset_index(drop=True), attempt)
-                    result.loc[missing, "distance"] = answer["distance"].to_numpy(dtype=float)
-                    result.loc[missing, "duration"] = answer["duration"].to_numpy(dtype=float)
-                yield result.astype(object).where(result.notna(), None)
+        for legs in frames:
+            distance, duration = np.full((2, len(legs)), np.nan)
+            for attempt in range(rounds):
+                missing = np.flatnonzero(np.isnan(distance))
+                for first in range(0, len(missing), size):
+                    rows = missing[first : first + size]
+                    answer = function(legs.iloc[rows].reset_index(drop=True), attempt)
+                    distance[rows] = answer["distance"].to_numpy(dtype=float)
+                    duration[rows] = answer["duration"].to_numpy(dtype=float)
+            yield legs.assign(distance=distance, duration=duration)
 
     return ask
