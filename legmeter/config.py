@@ -36,6 +36,8 @@ WATER_KM_CAP = 13.0
 LEGS_PER_CALL = 50
 ERROR_REPORT_ROWS = 100
 PREVIEW_ROWS = 200
+# Partition column of tables stored by day: the UTC day of the effective date, or of an event's time.
+EVENT_DAY = "event_day"
 # Time zone of the water line's drop order, and ISO text layout.
 HOME_ZONE = "Europe/Istanbul"
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.config import HOME_ZONE, ISO_TEXT, RunWindow
+from legmeter.config import EVENT_DAY, HOME_ZONE, ISO_TEXT, RunWindow
 
 
 def effective_date(delivered: Column, cancelled: Column) -> Column:
@@ -21,11 +21,20 @@ def within(time: Column, window: RunWindow) -> Column:
 def effective_within(delivered: Column, cancelled: Column, window: RunWindow) -> Column:
     """``coalesce(delivered, cancelled)`` in the window, spelled on the bare columns.
 
-    Parquet can skip row groups on the bare columns, but not on a ``coalesce``.
+    Comparisons of bare columns can be handed to the source, a ``coalesce`` cannot. Spark does not skip
+    parquet row groups by zone-less timestamps, though: large tables should be stored by day, see
+    ``in_days``.
     """
     return within(delivered, window) | (delivered.isNull() & within(cancelled, window))
 
 
+def in_days(df: DataFrame, window: RunWindow) -> DataFrame:
+    """Read only the folders of the window's days, if the table is stored by ``EVENT_DAY``."""
+    if EVENT_DAY not in df.columns:
+        return df
+    return df.filter(F.col(EVENT_DAY).between(F.to_date(window.lo), F.to_date(window.hi)))
+
+
 def to_zone(time: Column, zone: Column | str) -> Column:
     """UTC wall clock to the wall clock of ``zone``; a null zone gives null."""
     target = F.lit(zone) if isinstance(zone, str) else zone
@@ -46,12 +55,6 @@ def day_number(time: Column) -> Column:
     return F.coalesce(F.datediff(time, F.lit("1970-01-01")), F.lit(2**31 - 1))
 
 
-def clock_seconds(time: Column) -> Column:
-    """Seconds since 1970 by the wall clock; grows with ``time``."""
-    days = F.datediff(time, F.lit("1970-01-01")).cast("long")
-    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
-
-
 def plus_seconds(time: Column, seconds: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.round(seconds * 1_000_000).cast("long"), time)
 

@@ -2,29 +2,27 @@
 
 A plain window sorts each group in one task. A group can be huge here: orders without a courier all
 share one group, and so do those of a warehouse that dwarfs the others. Groups above a row limit are
-therefore cut into time pieces. Each piece is its own window partition, and a small summary per piece
+therefore cut into pieces along their order. Each piece is its own window partition, and a small summary per piece
 (its last row, its row count) carries the state to the next one. All other groups stay whole, and
 without any large group the plan is the plain window's.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from legmeter.config import SplitPolicy
-from legmeter.functions.timing import clock_seconds
+from legmeter.session import materialise
 
 
 class OrderedGroups:
     """Groups of ``keys`` rows in ascending ``order`` (nulls last).
 
-    ``order[0]`` is a timestamp or whole number and may be null; if it is a timestamp, ``order[1]``
-    must be a never-null timestamp that orders the nulls. The last entry makes the order total.
-    ``day``, if given, is a never-null number that grows with ``order``. It leads the sort without
+    The last entry of ``order`` makes it total. ``day``, if given, is a never-null number that grows with ``order``. It leads the sort without
     changing it, so numbering within a day needs neither a second shuffle nor a second sort.
     """
 
@@ -48,43 +46,31 @@ class OrderedGroups:
     def cut(self, df: DataFrame) -> DataFrame:
         """Add the piece number: 0 for ordinary groups, 1, 2, … along the order in large ones.
 
-        The list of large groups, which the policy bounds, says how to cut. Rows outside the counted
-        range fall into the outer pieces, so any list gives the same result.
+        Spark's range partitioning samples the order and so balances the pieces whatever the rows look
+        like, ties included. Its bounds differ from one execution to the next; therefore the rows of
+        large groups are written once with their piece, and everything after reads the same pieces.
         """
-        if isinstance(df.schema[self.order[0]].dataType, (T.TimestampNTZType, T.TimestampType)):
-            position = clock_seconds(F.coalesce(F.col(self.order[0]), F.col(self.order[1])))
-        else:
-            position = F.col(self.order[0]).cast("long")
-        counted = (
+        large = (
             df.groupBy(*self.keys)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.min(position).alias("_lo"),
-                F.max(position).alias("_hi"),
-            )
+            .agg(F.count(F.lit(1)).alias("_rows"))
             .filter(F.col("_rows") > self.policy.rows)
             .orderBy(F.col("_rows").desc())
             .limit(self.policy.keys)
         )
-        large = counted.collect()
-        if not large:
+        found = large.collect()
+        if not found:
             return df.withColumn(self.piece, F.lit(0))
         self.is_split = True
-        per_piece = max(self.policy.rows, sum(row["_rows"] for row in large) / self.policy.pieces)
-        side = df.sparkSession.createDataFrame(large, counted.schema).withColumn(
-            "_pieces", F.ceil(F.col("_rows") / per_piece)
-        )
-        span = F.col("_hi") - F.col("_lo") + 1
-        offset = F.coalesce(position, F.col("_lo")) - F.col("_lo")
-        number = F.floor(offset * F.col("_pieces") / span)
-        inside = F.least(F.greatest(number, F.lit(0)), F.col("_pieces") - 1) + 1
-        late = F.when(F.col(self.order[0]).isNull(), F.col("_pieces")).otherwise(0)
-        piece = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(inside + late)
-        return (
-            self._attach(df, side, self.keys)
-            .withColumn(self.piece, piece.cast("int"))
-            .drop("_rows", "_lo", "_hi", "_pieces")
+        pieces = min(self.policy.pieces, math.ceil(sum(row["_rows"] for row in found) / self.policy.rows))
+        flagged = self._attach(df, df.sparkSession.createDataFrame(found, large.schema), self.keys)
+        split = (
+            flagged.filter(F.col("_rows").isNotNull())
+            .drop("_rows")
+            .repartitionByRange(pieces, *self.keys, *self._ascending())
+            .withColumn(self.piece, F.spark_partition_id() + 1)
         )
+        whole = flagged.filter(F.col("_rows").isNull()).drop("_rows").withColumn(self.piece, F.lit(0))
+        return whole.unionByName(materialise(split, "pieces"))
 
     def previous(self, df: DataFrame, marked: DataFrame, values: dict[str, str]) -> DataFrame:
         """Add for each ``new: column`` the value of the row before. ``marked`` is ``mark``'s output."""
@@ -95,7 +81,7 @@ class OrderedGroups:
         out = out.withColumn("_first", F.row_number().over(window) == 1)
         carried = F.max_by(
             F.struct(*[F.col(column).alias(new) for new, column in values.items()]),
-            F.struct(*self.order),
+            self._rank(),
         ).alias("_last")
         along = Window.partitionBy(*self.keys).orderBy(self.piece)
         carry = self._summary(marked, [], carried).select(
@@ -136,7 +122,7 @@ class OrderedGroups:
         out = df.withColumn(new, F.last(column, ignorenulls=True).over(backwards))
         if not self.is_split:
             return out
-        first = F.min_by(F.col(column), F.when(F.col(column).isNotNull(), F.struct(*self.order))).alias("_firstvalue")
+        first = F.min_by(F.col(column), F.when(F.col(column).isNotNull(), self._rank())).alias("_firstvalue")
         along = (
             Window.partitionBy(*self.keys)
             .orderBy(F.col(self.piece).desc())
@@ -151,6 +137,14 @@ class OrderedGroups:
     def _ascending(self) -> list[Column]:
         return [F.col(name).asc_nulls_last() for name in self.order]
 
+    def _rank(self) -> Column:
+        """The order as one comparable value; a struct alone would put nulls first."""
+        return F.struct(
+            *[part.alias(f"{kind}{i}")
+                for i, name in enumerate(self.order)
+                for kind, part in (("null", F.col(name).isNull()), ("value", F.col(name)))]
+        )
+
     def _window(self):
         lead = [F.col(self.day).asc()] if self.day else []
         return Window.partitionBy(*self.keys, self.piece).orderBy(*lead, *self._ascending())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legmeter.config import FINISHED_STATUSES, RunWindow
-from legmeter.functions.timing import effective_date, effective_within, to_zone, within
+from legmeter.functions.timing import effective_date, effective_within, in_days, to_zone, within
 
 
 def is_eligible(status: Column, courier: Column, cancelled: Column) -> Column:
@@ -42,7 +42,7 @@ def market_rows(
         if delivered_only
         else effective_within(F.col("deliver_date"), F.col("cancel_date"), window)
     )
-    kept = orders.filter(
+    kept = in_days(orders, window).filter(
         dated
         & F.col("domaintype").isin(*domains)
         & is_eligible(F.col("status"), F.col("courier_courier_oid"), F.col("cancel_date"))

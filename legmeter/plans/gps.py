@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legmeter.config import GPS, RETURN_STEP, RunWindow, SplitPolicy
-from legmeter.functions.timing import effective_within, within
+from legmeter.functions.timing import effective_within, in_days, within
 from legmeter.operators.orders import batch_max, in_warehouses
 from legmeter.operators.routes import latest_routes, route_to_points
 from legmeter.plans.market import courier_sequence, leg_columns, padded_market_rows
@@ -22,7 +22,7 @@ def gps_distance_info(
 
     Cancelled orders play no part, neither as results nor as previous drops.
     """
-    delivered = tables.marketorders.filter(
+    delivered = in_days(tables.marketorders, window).filter(
         within(F.col("deliver_date"), window) & in_warehouses(F.col("warehouse_warehouse_oid"), warehouses)
     ).select("_id_oid")
     measured = tables.orders_distances.select("_id_oid", F.col("corrected_distance").alias("distance")).join(
@@ -60,7 +60,7 @@ def gps_routes(
     tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",), zero_offset_is_null: bool = True
 ) -> DataFrame:
     """Points of the routes whose orders fall in the window."""
-    orders = tables.marketorders.filter(
+    orders = in_days(tables.marketorders, window).filter(
         effective_within(F.col("deliver_date"), F.col("cancel_date"), window)
     ).select("_id_oid")
     routes = tables.routes_market.filter(in_warehouses(F.col("warehouse"), warehouses)).select(

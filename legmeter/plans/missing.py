@@ -21,7 +21,7 @@ from legmeter.config import (
     RunWindow,
     SplitPolicy,
 )
-from legmeter.functions.timing import effective_within, within
+from legmeter.functions.timing import effective_within, in_days, within
 from legmeter.operators.legs import TRIP_LEGS
 from legmeter.operators.orders import batch_max, in_warehouses, is_eligible
 from legmeter.plans.market import courier_sequence, leg_columns, padded_market_rows
@@ -63,7 +63,7 @@ def priced_orders(leg_distances: DataFrame) -> DataFrame:
 def _average_distance(
     tables: Tables, window: RunWindow, domains: tuple[int, ...], warehouses: Iterable[str], kind: Column
 ) -> DataFrame:
-    orders = tables.marketorders.filter(
+    orders = in_days(tables.marketorders, window).filter(
         effective_within(F.col("deliver_date"), F.col("cancel_date"), window)
         & F.col("domaintype").isin(*domains)
         & is_eligible(F.col("status"), F.col("courier_courier_oid"), F.col("cancel_date"))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legmeter.config import DIRECT_DELIVERY, RunWindow, SplitPolicy
-from legmeter.functions.timing import effective_date, effective_within, to_zone
+from legmeter.functions.timing import effective_date, effective_within, in_days, to_zone
 from legmeter.operators.ordered_groups import OrderedGroups
+from legmeter.operators.joins import left_join_any
 from legmeter.operators.orders import in_warehouses, is_eligible, with_zone
 from legmeter.sources.tables import Tables
 
@@ -43,7 +44,7 @@ def warehouse_or_store() -> Column:
 def kept_orders(
     orders: DataFrame, window: RunWindow, delivery: Column, warehouses: Iterable[str] = ("all",)
 ) -> DataFrame:
-    return orders.filter(
+    return in_days(orders, window).filter(
         effective_within(F.col("deliverdate"), F.col("canceldate"), window)
         & is_eligible(F.col("status"), F.col("courier_oid"), F.col("canceldate"))
         & delivery
@@ -104,6 +105,6 @@ def artisan_order_info(
     """As the food orders, once per closed delivery task of the order, with the task's position."""
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
     positions = task_batch_index(tables, policy=policy).select(F.col("orderid_oid").alias("order_id"), "batch_index")
-    return trip_rows(kept, tables, warehouse_or_store()).join(positions, "order_id", "left").select(
+    return left_join_any(trip_rows(kept, tables, warehouse_or_store()), positions, "order_id").select(
         *TRIP_COLUMNS, "batch_index"
     )

@@ -21,7 +21,7 @@ from legmeter.config import (
     RunWindow,
     SplitPolicy,
 )
-from legmeter.functions.timing import day_number, to_home_zone, to_zone, within
+from legmeter.functions.timing import day_number, in_days, to_home_zone, to_zone, within
 from legmeter.operators.ordered_groups import OrderedGroups, mark_groups
 from legmeter.operators.orders import in_warehouses, market_rows, start_point, with_zone
 from legmeter.sources.tables import Tables
@@ -66,7 +66,7 @@ def next_order_after_refill(
 ) -> DataFrame:
     """Refill events of the window with the courier's next order, looked for up to two hours past the end."""
     wide = window.widened(ahead_hours=REFILL_LOOK_AHEAD_HOURS)
-    events = tables.courier_status_logs.filter(
+    events = in_days(tables.courier_status_logs, wide).filter(
         within(F.col("createdat"), wide) & in_warehouses(F.col("warehouse_oid"), warehouses)
     )
     # The zone hangs on the warehouse master row, so an unknown warehouse has none.
@@ -128,7 +128,7 @@ def refill_info(
     reason, new, old = F.col("data_reason_oid"), F.col("newstatus"), F.col("oldstatus")
     refilled = ((reason == reasons.refill) & (new == AVAILABLE_STATUS)) | (new == REFILL_STATUS)
     called_back = (reason == reasons.busy) & (new == AVAILABLE_STATUS) & (old == BUSY_STATUS)
-    events = tables.courier_status_logs.filter(
+    events = in_days(tables.courier_status_logs, window).filter(
         within(F.col("createdat"), window)
         & (refilled | called_back)
         & ~F.hour("createdatl").isin(*QUIET_HOURS)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from legmeter.config import EVENT_DAY
+
 _S, _D, _I, _N = T.StringType(), T.DoubleType(), T.IntegerType(), T.TimestampNTZType()
 
 
@@ -79,6 +81,16 @@ class Tables:
         return cls(lambda name: spark.table(names.get(name, f"{schema}.{name}")))
 
 
+def store_by_day(df: DataFrame, time: Column, path: str) -> None:
+    """Write an input table in one folder per UTC day of ``time``; days of any size make even files."""
+    (
+        df.withColumn(EVENT_DAY, F.to_date(time))
+        .hint("rebalance", EVENT_DAY)
+        .write.partitionBy(EVENT_DAY)
+        .parquet(path)
+    )
+
+
 def conform(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Columns of ``layout``, by name and in its order; the ones ``df`` lacks become typed nulls."""
     present = set(df.columns)

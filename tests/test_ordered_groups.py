@@ -84,6 +84,27 @@ def test_number_order_groups(spark):
     assert results[0] == results[1]
 
 
+def test_ties_do_not_stop_the_cutting(spark):
+    """Two thirds of all rows in one group at one sequence number."""
+    rows = [(f"{i:05d}", "G" if i % 3 else f"g{i}", 1) for i in range(3000)]
+    groups = OrderedGroups(["g"], ["s", "id"], policy=SplitPolicy(rows=100))
+    marked = groups.mark(spark.createDataFrame(rows, "id string, g string, s int"))
+    assert marked.filter("g = 'G'").groupBy(groups.piece).count().agg({"count": "max"}).first()[0] < 400
+    numbers = groups.number(marked, marked, "n").filter("g = 'G'").orderBy("id").select("n").collect()
+    assert [r.n for r in numbers] == list(range(1, 2001))
+
+
+def test_left_join_with_a_repeated_right_key(spark):
+    from legmeter.operators.joins import left_join_any
+
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    right = spark.createDataFrame([("a", i) for i in range(50)] + [(None, 0), ("z", 1)], "k string, y int")
+    wanted = left.join(right, "k", "left")
+    assert left_join_any(left, right, "k").columns == wanted.columns
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(left_join_any(left, right, "k").collect(), key=key) == sorted(wanted.collect(), key=key)
+
+
 def test_two_groupings_share_one_count(spark):
     frame = spark.createDataFrame(rows_of(7), SCHEMA)
     first = OrderedGroups(["w", "c"], ["local", "moment", "id"], name="a", policy=SplitPolicy(rows=20))
