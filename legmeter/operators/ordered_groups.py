@@ -75,7 +75,7 @@ class OrderedGroups:
     def previous(self, df: DataFrame, marked: DataFrame, values: dict[str, str]) -> DataFrame:
         """Add for each ``new: column`` the value of the row before. ``marked`` is ``mark``'s output."""
         window = self._window()
-        out = df.withColumns({new: F.lag(column, 1).over(window) for new, column in values.items()})
+        out = self._placed(df, marked).withColumns({new: F.lag(column, 1).over(window) for new, column in values.items()})
         if not self.is_split:
             return out
         out = out.withColumn("_first", F.row_number().over(window) == 1)
@@ -98,7 +98,7 @@ class OrderedGroups:
         """Add the row number within the group, or within the group's day if ``day`` is set."""
         inner = [self.day] if self.day else []
         window = Window.partitionBy(*self.keys, self.piece, *inner).orderBy(*self._ascending())
-        out = df.withColumn(new, F.row_number().over(window))
+        out = self._placed(df, marked).withColumn(new, F.row_number().over(window))
         if not self.is_split:
             return out
         along = (
@@ -119,7 +119,7 @@ class OrderedGroups:
             .orderBy(*[F.col(name).desc_nulls_first() for name in self.order])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        out = df.withColumn(new, F.last(column, ignorenulls=True).over(backwards))
+        out = self._placed(df, marked).withColumn(new, F.last(column, ignorenulls=True).over(backwards))
         if not self.is_split:
             return out
         first = F.min_by(F.col(column), F.when(F.col(column).isNotNull(), self._rank())).alias("_firstvalue")
@@ -134,6 +134,15 @@ class OrderedGroups:
         out = self._attach(out, carry, [*self.keys, self.piece])
         return out.withColumn(new, F.coalesce(F.col(new), F.col("_later"))).drop("_later")
 
+    def _placed(self, df: DataFrame, marked: DataFrame) -> DataFrame:
+        """Ask for the window's own partitioning. An earlier join may have left the rows partitioned by
+        fewer keys, say the warehouse alone; Spark would keep that and put a whole warehouse in one task.
+        """
+        if df is not marked:
+            return df
+        # Without a split the piece is a constant, which Spark drops from the window's keys.
+        return df.repartition(*self.keys, *([self.piece] if self.is_split else []))
+
     def _ascending(self) -> list[Column]:
         return [F.col(name).asc_nulls_last() for name in self.order]
 

@@ -30,8 +30,9 @@ def _leg_keys(points: tuple[str, str, str, str]) -> list[Column]:
 class TablePrices:
     """Distances from a table with the four leg columns, ``distance`` (m) and ``duration`` (s).
 
-    Coordinates meet as whole micro-degrees. Should a leg occur more than once, its shortest entry
-    counts; that aggregation and the join use the same keys, so they share one shuffle.
+    Coordinates meet as whole micro-degrees. Should a leg occur more than once, its shortest distance
+    and its shortest duration count; that aggregation and the join use the same keys, so they share
+    one shuffle.
     """
 
     prices: DataFrame
@@ -43,19 +44,17 @@ class TablePrices:
     def price(
         self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
     ) -> DataFrame:
-        best = F.min(F.struct("distance", "duration")).alias("_best")
         side = (
             self.prices.filter(F.col("distance").isNotNull())
             .select(*_leg_keys(LEG_POINTS), "distance", "duration")
             .groupBy(*_KEYS)
-            .agg(best)
+            .agg(F.min("distance").alias("_distance"), F.min("duration").alias("_duration"))
         )
         return (
             df.select("*", *_leg_keys(points))
             .join(side, _KEYS, "left")
-            .withColumn(distance, F.col("_best.distance"))
-            .withColumn(duration, F.col("_best.duration"))
-            .drop("_best", *_KEYS)
+            .withColumns({distance: F.col("_distance"), duration: F.col("_duration")})
+            .drop("_distance", "_duration", *_KEYS)
         )
 
 

@@ -105,6 +105,6 @@ def artisan_order_info(
     """As the food orders, once per closed delivery task of the order, with the task's position."""
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
     positions = task_batch_index(tables, policy=policy).select(F.col("orderid_oid").alias("order_id"), "batch_index")
-    return left_join_any(trip_rows(kept, tables, warehouse_or_store()), positions, "order_id").select(
+    return left_join_any(trip_rows(kept, tables, warehouse_or_store()), positions, "order_id", policy).select(
         *TRIP_COLUMNS, "batch_index"
     )

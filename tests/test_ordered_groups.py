@@ -102,7 +102,9 @@ def test_left_join_with_a_repeated_right_key(spark):
     wanted = left.join(right, "k", "left")
     assert left_join_any(left, right, "k").columns == wanted.columns
     key = lambda r: tuple((v is None, v) for v in r)
-    assert sorted(left_join_any(left, right, "k").collect(), key=key) == sorted(wanted.collect(), key=key)
+    for policy in (SplitPolicy(), SplitPolicy(rows=10)):
+        found = left_join_any(left, right, "k", policy).collect()
+        assert sorted(found, key=key) == sorted(wanted.collect(), key=key)
 
 
 def test_two_groupings_share_one_count(spark):

@@ -110,6 +110,15 @@ def test_one_shuffle_and_one_sort_feed_both_market_windows(stored):
     assert len(re.findall(r"\bWindow \[", plan)) == 2
 
 
+def test_a_join_by_warehouse_does_not_decide_where_couriers_go(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(market.courier_sequence(market.padded_market_rows(stored, WINDOW), "eff_date_l"))
+        assert re.search(r"Exchange hashpartitioning\(warehouse_id#\d+, courier_id#\d+", plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_dimensions_are_broadcast_by_size_only(spark, stored):
     df = trips.food_order_info(stored, WINDOW)
     assert plan_of(df).count("BroadcastHashJoin") == 2
@@ -137,6 +146,7 @@ def test_price_table_is_shuffled_once(spark, stored):
         )
         plan = plan_of(TablePrices(prices).price(prices.select("from_lon", "from_lat", "to_lon", "to_lat")))
         assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+        assert "SortAggregate" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
