@@ -63,6 +63,10 @@ def iso_text(time: Column) -> Column:
     return F.date_format(time, ISO_TEXT)
 
 
+def _in_day(time: str) -> Column:
+    return F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
 def run_grid(spark_or_bounds: SparkSession | DataFrame, every: timedelta, start=None, end=None) -> DataFrame:
     """Start times of all runs from ``start`` to the end floored to the interval, both included.
 
@@ -83,10 +87,10 @@ def run_grid(spark_or_bounds: SparkSession | DataFrame, every: timedelta, start=
             F.lit(str(start)).cast("timestamp_ntz").alias("start"), F.lit(str(end)).cast("timestamp_ntz").alias("end")
         )
     end_day = day_start(F.col("end"))
-    in_day = F.hour("end") * 3600 + F.minute("end") * 60 + F.second("end")
-    floored = F.timestamp_add("SECOND", (F.floor(in_day / seconds) * seconds).cast("int"), end_day)
+    floored = F.timestamp_add("SECOND", (F.floor(_in_day("end") / seconds) * seconds).cast("int"), end_day)
     # An end before the start has no run at all; a bare sequence would count backwards.
-    steps = F.floor(F.timestamp_diff("SECOND", F.col("start"), F.col("floored")) / seconds)
+    apart = F.datediff("floored", "start").cast("long") * 86400 + _in_day("floored") - _in_day("start")
+    steps = F.floor(apart / seconds)
     return (
         bounds.withColumn("floored", floored)
         .filter(F.col("floored") >= F.col("start"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, JobConfig
+from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, JobConfig, RunWindow
 from legmeter.operators.legs import (
     legs_with_return,
     predict_missing,
@@ -26,6 +28,7 @@ from legmeter.operators.upsert import (
     stored_table,
 )
 from legmeter.plans import gps, missing, trips, water
+from legmeter.plans.export import write_partner_export
 from legmeter.plans.finalize import (
     all_legs,
     arrange_partner_legs,
@@ -48,6 +51,9 @@ LINES = {
     "artisan": ("all", "6"),
 }
 
+# Fixed value: UTC hour of the run that also exports.
+EXPORT_HOUR = 4
+
 # Result name -> (stored table, keys, layout, sort key).
 TARGETS = {
     "leg_distances": ("leg_distances", LEG_KEYS, LEG_LAYOUT, "_id_oid"),
@@ -159,6 +165,15 @@ def store(
     return None
 
 
+def daily_export(tables: Tables, config: JobConfig, now: datetime, path: str) -> bool:
+    """The run at the export hour in mode ``osrm`` also writes the partner export of the day before."""
+    if config.mode != "osrm" or now.hour != EXPORT_HOUR:
+        return False
+    midnight = now.replace(hour=0, minute=0, second=0, microsecond=0)
+    write_partner_export(tables, RunWindow(midnight - timedelta(days=1), midnight), path)
+    return True
+
+
 def check(results: dict[str, DataFrame], folder: str) -> None:
     """Write the results for inspection instead of storing them."""
     write_check_tables(folder, **results)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from compare import spark_rows
 
@@ -9,7 +11,7 @@ from legmeter.catalog.queries import UPDATED_AT, WINDOW, stand_ins
 from legmeter.config import JobConfig, RunWindow
 from legmeter.operators.pricing import GreatCircle
 from legmeter.operators.upsert import PART, stored_table
-from legmeter.plans.job import MODES, TARGETS, check, order_lines, run, store
+from legmeter.plans.job import MODES, TARGETS, check, daily_export, order_lines, run, store
 from legmeter.sources.tables import LEG_LAYOUT
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -86,6 +88,17 @@ def test_store_twice_is_store_once(spark, tables, tmp_path):
     assert kinds == {"haversine", "gps"}
 
 
+def test_export_runs_once_a_day(spark, tables, tmp_path):
+    config = JobConfig("osrm", WEEK, UPDATED_AT)
+    assert not daily_export(tables, config, datetime(1998, 1, 11, 5), str(tmp_path / "none"))
+    assert not daily_export(tables, JobConfig("gps", WEEK, UPDATED_AT), datetime(1998, 1, 11, 4), str(tmp_path / "none"))
+    assert daily_export(tables, config, datetime(1998, 1, 11, 4, 30), str(tmp_path / "export"))
+    sheet = spark.read.option("header", True).csv(str(tmp_path / "export"))
+    assert sheet.columns == ["order_id", "courier_id", "date_l", "domain_type", "step", "osrm", "distance"]
+    assert {r[0][:10] for r in sheet.select("date_l").distinct().collect()} <= {"1998-01-10", "1998-01-11"}
+    assert sheet.count() > 0
+
+
 def test_check_writes_sheets(spark, tables, tmp_path):
     found = results(tables, "osrm", line="3")
     check(found, str(tmp_path / "sheets"))
