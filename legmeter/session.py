@@ -36,9 +36,9 @@ def work_folder(spark: SparkSession, label: str) -> str:
 
     Only a local-mode session may go without the setting; it then gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         app = context.applicationId
