@@ -2,9 +2,9 @@
 
 A plain window sorts each group in one task. A group can be huge here: orders without a courier all
 share one group, and so do those of a warehouse that dwarfs the others. Groups above a row limit are
-therefore cut into pieces along their order. Each piece is its own window partition, and a small summary per piece
-(its last row, its row count) carries the state to the next one. All other groups stay whole, and
-without any large group the plan is the plain window's.
+therefore cut into pieces along their order. Each piece is its own window partition, and a small
+summary per piece (its last row, its row count) carries the state to the next one. All other groups
+stay whole, and without any large group the plan is the plain window's.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from legmeter.session import materialise
 class OrderedGroups:
     """Groups of ``keys`` rows in ascending ``order`` (nulls last).
 
-    The last entry of ``order`` makes it total. ``day``, if given, is a never-null number that grows with ``order``. It leads the sort without
-    changing it, so numbering within a day needs neither a second shuffle nor a second sort.
+    The last entry of ``order`` makes it total. ``day``, if given, is a never-null number that grows
+    with ``order``. It leads the sort without changing it, so numbering within a day needs neither a
+    second shuffle nor a second sort. ``count_by`` may name fewer keys that are cheaper to count by.
     """
 
     def __init__(

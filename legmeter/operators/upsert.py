@@ -65,6 +65,17 @@ def partition_of_time(time: Column) -> Column:
     return F.concat(F.lit("d"), F.coalesce(F.to_date(time).cast("string"), F.lit("none")))
 
 
+def in_parts(stored: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Only the folders that can hold the given ids, if ``stored`` was written by ``merge_table``.
+
+    Result tables keep the whole history. The folders of a window's ids are few, so finding them
+    first, from the id column alone, saves reading all the others.
+    """
+    if PART not in stored.columns:
+        return stored
+    return stored.filter(F.col(PART).isin(_parts(ids.select(partition_of(F.col(key)).alias(PART)))))
+
+
 def stored_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
     """The stored table, or an empty frame of its layout if nothing has been stored yet."""
     full = T.StructType([*layout.fields, T.StructField(PART, T.StringType())])

@@ -24,6 +24,7 @@ from legmeter.config import (
 from legmeter.functions.timing import effective_within, in_days, within
 from legmeter.operators.legs import TRIP_LEGS
 from legmeter.operators.orders import batch_max, in_warehouses, is_eligible
+from legmeter.operators.upsert import in_parts
 from legmeter.plans.market import courier_sequence, leg_columns, padded_market_rows
 from legmeter.plans.trips import (
     COMPLETED_TASKS,
@@ -70,7 +71,8 @@ def _average_distance(
         & in_warehouses(F.col("warehouse_warehouse_oid"), warehouses)
     ).select("_id_oid", F.col("warehouse_warehouse_oid").alias("warehouse_id"))
     return (
-        tables.leg_distances.filter(kind)
+        in_parts(tables.leg_distances, orders, "_id_oid")
+        .filter(kind)
         .select("_id_oid", "distance")
         .join(orders, "_id_oid")
         .groupBy("warehouse_id")
@@ -94,7 +96,8 @@ def market_missing(
 ) -> DataFrame:
     rows = padded_market_rows(tables, window, warehouses)
     sequenced = courier_sequence(rows, "eff_date_l", policy).filter(within(F.col("eff_date"), window))
-    missing = sequenced.join(priced_orders(tables.leg_distances), "order_id", "left_anti")
+    stored = in_parts(tables.leg_distances, rows, "order_id")
+    missing = sequenced.join(priced_orders(stored), "order_id", "left_anti")
     return (
         leg_columns(missing, batch_max(rows))
         .join(avg_distance_market(tables, window, warehouses), "warehouse_id", "left")
@@ -115,7 +118,8 @@ def water_missing(
     sequenced = vehicle_sequence(rows, by_effective_date=True, policy=policy).filter(
         within(F.col("delivered"), window)
     )
-    missing = sequenced.join(priced_orders(tables.leg_distances), "order_id", "left_anti")
+    stored = in_parts(tables.leg_distances, rows, "order_id")
+    missing = sequenced.join(priced_orders(stored), "order_id", "left_anti")
     refilled = orders_after_refill(next_order_after_refill(tables, window, reasons, warehouses, policy))
     return (
         water_start(missing, refilled)
@@ -141,7 +145,8 @@ def _average_legs(kept: DataFrame, tables: Tables, distances: DataFrame) -> Data
     zones = tables.warehouse_locations.select(F.col("warehouse").alias("courierwarehouse_oid"))
     orders = kept.select("_id_oid", "courierwarehouse_oid").join(zones, "courierwarehouse_oid")
     return (
-        distances.select("_id_oid", *TRIP_LEGS)
+        in_parts(distances, kept, "_id_oid")
+        .select("_id_oid", *TRIP_LEGS)
         .join(orders, "_id_oid")
         .groupBy("courierwarehouse_oid")
         .agg(*[F.avg(leg).alias(f"{leg}_avg") for leg in TRIP_LEGS])
@@ -167,7 +172,7 @@ def _with_averages(missing: DataFrame, averages: DataFrame) -> DataFrame:
 def food_missing(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
     kept = kept_orders(tables.food_orders, window, food_delivery(), warehouses)
     rows = trip_rows(kept, tables, courier_warehouse(), "inner")
-    missing = rows.join(complete_trips(tables.food_distances), "order_id", "left_anti")
+    missing = rows.join(complete_trips(in_parts(tables.food_distances, kept, "_id_oid")), "order_id", "left_anti")
     averaged = _with_averages(missing, avg_legs_food(tables, window, warehouses))
     return averaged.select(*TRIP_COLUMNS, *[f"{leg}_avg" for leg in TRIP_LEGS])
 
@@ -178,7 +183,7 @@ def artisan_missing(
     """One row per order; ``batch_index`` is the order's first completed delivery task, if it has one."""
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
     rows = trip_rows(kept, tables, warehouse_or_store(), "inner")
-    missing = rows.join(complete_trips(tables.artisan_distances), "order_id", "left_anti")
+    missing = rows.join(complete_trips(in_parts(tables.artisan_distances, kept, "_id_oid")), "order_id", "left_anti")
     first = (
         task_batch_index(tables, "orderid_oid", COMPLETED_TASKS, policy)
         .groupBy(F.col("orderid_oid").alias("order_id"))

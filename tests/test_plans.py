@@ -12,8 +12,9 @@ from legmeter.catalog.queries import WINDOW, stand_ins
 from legmeter.config import Reasons, RunWindow
 from legmeter.functions.timing import in_days
 from legmeter.operators.pricing import TablePrices
+from legmeter.operators.upsert import LEG_KEYS, PART, merge_table, stored_table
 from legmeter.plans import gps, market, missing, trips, water
-from legmeter.sources.tables import INPUT_TABLES, Tables, store_by_day
+from legmeter.sources.tables import INPUT_TABLES, LEG_LAYOUT, Tables, store_by_day
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -93,6 +94,33 @@ def test_only_the_folders_of_the_window_are_opened(by_day):
     assert node.metrics().apply("numPartitions").value() == 2
 
 
+def test_stored_results_are_read_by_folder(spark, stored, tmp_path):
+    """Ids with a creation time: the missing run opens the result folders of its own days only."""
+    day = F.floor(F.col("_id_oid").cast("long") / 200).cast("int") * 86400 + 882900992
+    oid = F.concat(F.lower(F.lpad(F.hex(day), 8, "0")), F.lpad(F.col("_id_oid"), 16, "0"))
+    orders = stored.marketorders.withColumn("_id_oid", oid)
+    legs = stored.leg_distances.withColumn("_id_oid", oid)
+    path = str(tmp_path / "legs")
+    merge_table(spark, path, legs, LEG_KEYS, LEG_LAYOUT, "_id_oid")
+    kept = stored_table(spark, path, LEG_LAYOUT)
+    assert kept.select(PART).distinct().count() > 5
+    some = orders.filter(F.conv(F.substring("_id_oid", 1, 8), 16, 10).cast("long") < 882900992 + 2 * 86400)
+    by_folder, plainly = (
+        Tables({"marketorders": some, "warehouse_locations": stored.warehouse_locations, "leg_distances": t}.__getitem__)
+        for t in (kept, legs)
+    )
+    found = missing.market_missing(by_folder, WINDOW)
+    assert re.search(r"PartitionFilters: \[part#\d+ IN \(d1997-12-23,d1997-12-24\)", scan_of(found, "distance_type"))
+    assert spark_rows(found.drop("avg_distance")) == spark_rows(
+        missing.market_missing(plainly, WINDOW).drop("avg_distance")
+    )
+    averages = [
+        {r.warehouse_id: round(r.avg_distance, 6) for r in missing.avg_distance_market(t, WINDOW).collect()}
+        for t in (by_folder, plainly)
+    ]
+    assert averages[0] == averages[1] != {}
+
+
 def test_window_reaches_the_event_scan(stored):
     scan = scan_of(water.refill_info(stored, WINDOW, Reasons()), "createdat")
     assert "GreaterThanOrEqual(createdat" in scan and "data_plate" not in scan
