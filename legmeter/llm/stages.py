@@ -1,0 +1,36 @@
+"""Stages of the corpus pipeline; each works on all that the one before it kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from legmeter.llm import packing, quality
+from legmeter.llm.queries import WORD_TOKENIZER
+from legmeter.session import work_folder
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.filter_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, WORD_TOKENIZER)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("packing", packing_stage),
+]
+
+#: Tokenizing and near duplicates are beyond SQL; tests hold the stages against brute force.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder, each stage stored and read again before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = work_folder(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
