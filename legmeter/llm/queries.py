@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.llm import chat, language, packing, quality, token_counts, token_file
+from legmeter.llm import chat, language, packing, quality, substrings, token_counts, token_file
 from legmeter.session import materialise, work_folder
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents, language.train(sample), F.col("doc_id"), held_out=_fold(3) == 1)
 
 
+@_query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
