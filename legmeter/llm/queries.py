@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.llm import chat, language, near_duplicates, packing, quality, substrings, token_counts, token_file
+from legmeter.llm import chat, decontaminate, language, near_duplicates, packing, quality, substrings, token_counts, token_file
 from legmeter.session import materialise, work_folder
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +81,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 _ESCAPED = "replace(replace({0}, '\\', '\\\\'), '<|', '<\\|')"
 _ROLE, _TEXT = "coalesce(role, '')", "coalesce(text, '')"
 SQL["op4_chat_formatting"] = f"""

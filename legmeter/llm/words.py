@@ -17,6 +17,9 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Also takes ASCII punctuation for white space.
+PLAIN = LOWER.copy()
+PLAIN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 32
 
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
@@ -96,12 +99,12 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return hashes
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of the documents ``data[offsets[d]:offsets[d + 1]]``; ``lower`` folds A-Z only."""
+def words_of(data: np.ndarray, offsets: np.ndarray, table: np.ndarray | None = None) -> Words:
+    """Words of the documents ``data[offsets[d]:offsets[d + 1]]``, each byte replaced by its entry in ``table``."""
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    if lower:
-        data = LOWER[data]
+    if table is not None:
+        data = table[data]
     solid = np.zeros(len(data) + 2, dtype=bool)
     np.logical_not(SPACE[data], out=solid[1:-1])
     edge = np.zeros(len(data) + 1, dtype=bool)
@@ -126,7 +129,9 @@ def arrow_texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return data, offsets
 
 
-def document_runs(column: pa.Array, most_bytes: int = 4 << 20, lower: bool = False) -> Iterator[tuple[int, Words]]:
+def document_runs(
+    column: pa.Array, most_bytes: int = 4 << 20, table: np.ndarray | None = None
+) -> Iterator[tuple[int, Words]]:
     """``(first row, words)`` of runs of documents of about ``most_bytes``; a longer text is a run of its own."""
     if not len(column):
         return
@@ -135,5 +140,5 @@ def document_runs(column: pa.Array, most_bytes: int = 4 << 20, lower: bool = Fal
     while row < len(column):
         stop = max(int(np.searchsorted(offsets, offsets[row] + most_bytes, "right")) - 1, row + 1)
         stop = min(stop, len(column))
-        yield row, words_of(data, offsets[row : stop + 1], lower)
+        yield row, words_of(data, offsets[row : stop + 1], table)
         row = stop
