@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.llm import chat, decontaminate, language, near_duplicates, packing, quality, substrings, token_counts, token_file
+from legmeter.llm import chat, decontaminate, language, language_model, near_duplicates, packing, quality, substrings, token_counts, token_file
 from legmeter.session import materialise, work_folder
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+@_query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_corpus(_table(spark, sf_dir, "documents"), _fold(10) == 0)
+
+
 @_query
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "tokens")
