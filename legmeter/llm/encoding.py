@@ -15,12 +15,13 @@ from array import array
 
 import numpy as np
 
+from legmeter.llm.words import kept_by_process
+
 #: Distinct pieces that one worker remembers; the cache starts anew when it is full.
 CACHE_PIECES = 1_000_000
 END_ID = 2
 #: Punctuation that never joins the letters before it.
 _MARKS = ".,;:!?#$%&*"
-_LOADED: dict[str, Encoder] = {}
 
 
 def vocabulary_path(name: str) -> str:
@@ -77,7 +78,7 @@ class _Pieces(dict):
         if piece.isalpha():
             return self._letters(piece)
         stem = piece.rstrip(_MARKS)
-        if len(stem) < len(piece) and stem[-1:].isalpha():
+        if len(stem) < len(piece) and stem[-1:].lower().isalpha():
             marks = piece[len(stem) :]
             tail = self._marks.get(marks)
             if tail is None:
@@ -143,6 +144,7 @@ class Encoder:
 
 def encoder(name: str) -> Encoder:
     """The encoder of a vocabulary file, loaded once per Python worker."""
-    if name not in _LOADED:
-        _LOADED[name] = Encoder(name)
-    return _LOADED[name]
+    loaded = kept_by_process("encoders")
+    if name not in loaded:
+        loaded[name] = Encoder(name)
+    return loaded[name]

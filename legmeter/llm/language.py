@@ -89,7 +89,7 @@ def training_sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_
     return rows.join(F.broadcast(shares), "lang").where(keep)
 
 
-def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, rate: float = 2.0, batch: int = 64, seed: int = 7) -> LanguageModel | None:
+def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, least_steps: int = 1500, rate: float = 2.0, batch: int = 64, seed: int = 7) -> LanguageModel | None:
     """Stochastic gradient descent over the histograms of ``sample`` (``lang, text, draw``)."""
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +122,8 @@ def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, rate: float
     embed = (rng.standard_normal((size, dimension)) * 0.1).astype(np.float32)
     out, bias = np.zeros((dimension, classes), np.float32), np.zeros(classes, np.float32)
     learn = np.flatnonzero(~held)
+    # A small sample is passed over more often.
+    epochs = max(epochs, -(-least_steps // max(1, len(learn) // batch)))
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for rows_of in np.array_split(rng.permutation(learn), max(1, len(learn) // batch)):

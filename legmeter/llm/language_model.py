@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legmeter.llm.words import LOWER, Words, document_runs, mix
+from legmeter.llm.words import LOWER, Words, document_runs, kept_by_process, mix
 from legmeter.session import materialise
 
 HEAD, CLASSES = 1536, 512
 SYMBOLS = HEAD + CLASSES
-#: Tokens whose counts are broadcast (16 bytes each).
+#: Most tokens whose counts are broadcast (16 bytes each).
 LEXICON = 1 << 18
 DIMENSIONS = 24
 BATCH, NOISE = 2048, 128
@@ -42,7 +42,6 @@ RATE = 0.15
 SMOOTHING = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 _LN10 = math.log(10)
-_TABLES: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
 def _classes(words: Words) -> np.ndarray:
@@ -113,7 +112,18 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The bounded part of ``counts`` that tasks need."""
     totals = counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(LEXICON).toArrow()
+    # The least count of the lexicon comes from a histogram of sizes, a row for each sixteenth of a doubling, so no
+    # task ever holds more than the lexicon.
+    size = F.floor(F.log2("n") * 16).cast("int")
+    steps = counts.groupBy(size.alias("size")).agg(F.count("*").alias("v")).orderBy(F.desc("size")).collect()
+    room, least = LEXICON, None
+    for step in steps:
+        room -= step.v
+        if room < 0:
+            break
+        least = step["size"]
+    chosen = counts.where(size >= least) if least is not None else counts.limit(0)
+    top = chosen.toArrow().sort_by([("n", "descending"), ("token", "ascending")])
     token, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
     # The end is always a symbol of its own.
     order = np.argsort(token != END, kind="stable")
@@ -256,10 +266,11 @@ def score_documents(documents: DataFrame, key: list[str], counts: DataFrame, wor
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, p = shared.value
-        if name not in _TABLES:
-            _TABLES.clear()
-            _TABLES[name] = normalisers(p)
-        near, far, log_z, _ = _TABLES[name]
+        tables = kept_by_process("normalisers")
+        if name not in tables:
+            tables.clear()
+            tables[name] = normalisers(p)
+        near, far, log_z, _ = tables[name]
         floor = np.log10(known.class_total + SMOOTHING * (known.class_distinct + 1))
         at = TaskContext.get().partitionId() << 40
         for batch in batches:

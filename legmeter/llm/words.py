@@ -7,6 +7,7 @@ length; equal words always get equal hashes.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,17 +25,25 @@ PLAIN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 32
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
-_POWERS: dict[int, np.ndarray] = {}
 #: Bytes hashed at a time; bounds the temporary arrays, whatever the length of a text.
 PIECE_BYTES = 1 << 20
 
 
+def kept_by_process(name: str) -> dict:
+    """A dictionary that a worker process keeps between tasks.
+
+    The library travels to tasks by value, so that its own globals start anew in each of them.
+    """
+    return vars(sys).setdefault("_legmeter_kept", {}).setdefault(name, {})
+
+
 def _powers(base: int, size: int) -> np.ndarray:
-    known = _POWERS.get(base)
+    powers = kept_by_process("powers")
+    known = powers.get(base)
     if known is None or len(known) < size:
         known = np.full(max(size, 1 << 16), base, dtype=np.uint64)
         known[0] = 1
-        _POWERS[base] = known = np.cumprod(known, dtype=np.uint64)
+        powers[base] = known = np.cumprod(known, dtype=np.uint64)
     return known[:size]
 
 
