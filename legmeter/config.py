@@ -84,17 +84,9 @@ class Reasons:
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When an ordered group is cut into pieces: above ``rows`` rows, for the ``keys`` largest groups.
-
-    Both limits bound what is broadcast, whatever the size of the data: at most ``keys`` split groups
-    and at most ``pieces + keys`` pieces (each once more per day it covers, where rows are numbered by
-    day). Groups beyond the largest ``keys`` stay whole; none of them can hold more than ``1/keys`` of
-    the rows.
-    """
+    """An ordered group of more than ``rows`` rows is cut into pieces of about that many."""
 
     rows: int = 5_000_000
-    keys: int = 10_000
-    pieces: int = 50_000
 
 
 @dataclass(frozen=True)

@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legmeter.config import SplitPolicy
 
-
-def left_join_any(left: DataFrame, right: DataFrame, key: str, policy: SplitPolicy = SplitPolicy()) -> DataFrame:
-    """Left join, chosen by how often the right side repeats a key.
+def left_join_any(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join as an inner join plus the rows without a match, at any size.
 
     Adaptive execution can split a skewed partition on either side of an inner join, but never on the
-    right side of a left join. If any key has more right rows than one task should hold, the join is
-    therefore an inner join plus the rows without a match; otherwise it is a plain left join.
+    right side of a left join.
     """
-    counts = right.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    if counts.filter(F.col("_rows") > policy.rows).select("_rows").isEmpty():
-        return left.join(right, key, "left")
     matched = left.join(right, key)
     unmatched = left.join(right.select(key).distinct(), key, "left_anti")
     absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]

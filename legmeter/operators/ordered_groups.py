@@ -51,19 +51,13 @@ class OrderedGroups:
         like, ties included. Its bounds differ from one execution to the next; therefore the rows of
         large groups are written once with their piece, and everything after reads the same pieces.
         """
-        large = (
-            df.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > self.policy.rows)
-            .orderBy(F.col("_rows").desc())
-            .limit(self.policy.keys)
-        )
-        found = large.collect()
-        if not found:
+        large = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > self.policy.rows)
+        total = large.agg(F.sum("_rows")).first()[0]
+        if not total:
             return df.withColumn(self.piece, F.lit(0))
         self.is_split = True
-        pieces = min(self.policy.pieces, math.ceil(sum(row["_rows"] for row in found) / self.policy.rows))
-        flagged = self._attach(df, df.sparkSession.createDataFrame(found, large.schema), self.keys)
+        pieces = math.ceil(total / self.policy.rows)
+        flagged = self._attach(df, large, self.keys)
         split = (
             flagged.filter(F.col("_rows").isNotNull())
             .drop("_rows")
@@ -164,8 +158,8 @@ class OrderedGroups:
 
     @staticmethod
     def _attach(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
-        """Left join on keys that may be null. ``SplitPolicy`` bounds the size of ``side``."""
-        side = F.broadcast(side.withColumnsRenamed({name: f"_on_{name}" for name in on}))
+        """Left join on keys that may be null. Spark broadcasts ``side`` only while it is small."""
+        side = side.withColumnsRenamed({name: f"_on_{name}" for name in on})
         condition = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_on_{name}")) for name in on])
         return df.join(side, condition, "left").drop(*[f"_on_{name}" for name in on])
 

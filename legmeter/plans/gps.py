@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from legmeter.config import GPS, RETURN_STEP, RunWindow, SplitPolicy
 from legmeter.functions.timing import effective_within, in_days, within
-from legmeter.operators.orders import batch_max, in_warehouses
+from legmeter.operators.orders import in_warehouses, start_point
 from legmeter.operators.routes import latest_routes, route_to_points
-from legmeter.plans.market import courier_sequence, leg_columns, padded_market_rows
+from legmeter.plans.market import courier_sequence, padded_market_rows
 from legmeter.sources.tables import Tables
 
 
@@ -30,7 +30,11 @@ def gps_distance_info(
     )
     rows = padded_market_rows(tables, window, warehouses, delivered_only=True)
     sequenced = courier_sequence(rows, "delivered_l", policy).filter(within(F.col("delivered"), window))
-    legs = leg_columns(sequenced, batch_max(rows)).withColumnRenamed("order_id", "_id_oid")
+    # The start point needs the order's place in its batch only, not the job's last one.
+    legs = sequenced.select(
+        F.col("order_id").alias("_id_oid"), "to_lon", "to_lat", "is_batched", "delivery_batch_index",
+        *start_point(F.col("delivery_batch_index") == 1),
+    )
     return measured.join(legs, "_id_oid", "left").select(
         "_id_oid",
         F.coalesce("delivery_batch_index", F.lit(1)).cast("int").alias("step"),

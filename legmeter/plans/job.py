@@ -121,7 +121,7 @@ def price_lines(lines: dict[str, DataFrame], config: JobConfig, provider) -> dic
 
 
 def run(tables: Tables, config: JobConfig, provider=None, feed_path: str | None = None) -> dict[str, DataFrame]:
-    """All results of a run, lazily. ``provider`` prices legs; ``feed_path`` is the partner's landing folder."""
+    """All results of a run. Building them counts ordered groups and may ask the price service. ``provider`` prices legs; ``feed_path`` is the partner's landing folder."""
     if config.mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     results: dict[str, DataFrame] = {}

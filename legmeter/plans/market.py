@@ -13,6 +13,7 @@ from legmeter.operators.ordered_groups import OrderedGroups
 from legmeter.operators.orders import batch_max, market_rows, start_point, with_batch_max
 from legmeter.sources.tables import Tables
 
+# Output columns.
 LEG_COLUMNS = [
     "order_id", "deliver_date", "cancel_date", "deliver_date_l", "is_batched", "delivery_batch_index", "max_index",
     "delivery_job_oid", "warehouse_id", "courier_id", "order_number", "warehouse_lon", "warehouse_lat", "prev_lon",

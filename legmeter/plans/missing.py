@@ -40,11 +40,13 @@ from legmeter.plans.trips import (
 from legmeter.plans.water import next_order_after_refill, orders_after_refill, padded_water_rows, vehicle_sequence, water_start
 from legmeter.sources.tables import Tables
 
+# Output columns.
 MARKET_COLUMNS = [
     "order_id", "deliver_date_l", "deliver_date", "is_batched", "delivery_batch_index", "max_index",
     "delivery_job_oid", "warehouse_id", "courier_id", "order_number", "warehouse_lon", "warehouse_lat", "prev_lon",
     "prev_lat", "from_lon", "from_lat", "to_lon", "to_lat", "avg_distance", "will_return_warehouse",
 ]
+# Output columns.
 WATER_COLUMNS = [
     "order_id", "deliver_date", "deliver_date_l", "is_batched", "delivery_batch_index", "delivery_job_oid",
     "warehouse_id", "courier_id", "courier_fleetvehicle_oid", "order_number", "warehouse_lon", "warehouse_lat",
@@ -185,7 +187,7 @@ def artisan_missing(
     rows = trip_rows(kept, tables, warehouse_or_store(), "inner")
     missing = rows.join(complete_trips(in_parts(tables.artisan_distances, kept, "_id_oid")), "order_id", "left_anti")
     first = (
-        task_batch_index(tables, "orderid_oid", COMPLETED_TASKS, policy)
+        task_batch_index(tables, "orderid_oid", COMPLETED_TASKS, policy, kept)
         .groupBy(F.col("orderid_oid").alias("order_id"))
         .agg(F.min("batch_index").alias("batch_index"))
     )

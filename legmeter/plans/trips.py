@@ -19,6 +19,7 @@ DELIVERY_TASK = "Delivery"
 CLOSED_TASKS = ("COMPLETED", "CANCELLED")
 COMPLETED_TASKS = ("COMPLETED",)
 
+# Output columns.
 TRIP_COLUMNS = [
     "order_id", "deliver_date", "deliver_date_l", "day", "warehouse_id", "courier_id", "warehouse_lon",
     "warehouse_lat", "restaurant_lon", "restaurant_lat", "to_lon", "to_lat",
@@ -88,9 +89,18 @@ def task_batch_index(
     group: str = "taskgroupid_oid",
     states: tuple[str, ...] = CLOSED_TASKS,
     policy: SplitPolicy = SplitPolicy(),
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Position of each delivery task in its group, by sequence."""
+    """Position of each delivery task in its group, by sequence.
+
+    With ``orders`` (``_id_oid``) only the groups that hold a task of theirs are ranked, not the whole history.
+    """
     tasks = tables.courier_tasks.filter((F.col("type") == DELIVERY_TASK) & F.col("status").isin(*states))
+    if orders is not None:
+        wanted = tasks.join(orders.select(F.col("_id_oid").alias("orderid_oid")), "orderid_oid", "left_semi")
+        wanted = wanted.select(F.col(group).alias("_group")).distinct()
+        # A null group is a group too.
+        tasks = tasks.join(wanted, F.col(group).eqNullSafe(F.col("_group")), "left_semi")
     groups = OrderedGroups([group], ["sequence", "task_id"], policy=policy, name="task_piece")
     marked = groups.mark(tasks.select("task_id", "orderid_oid", "taskgroupid_oid", "sequence"))
     return groups.number(marked, marked, "batch_index").drop(groups.piece)
@@ -104,7 +114,9 @@ def artisan_order_info(
 ) -> DataFrame:
     """As the food orders, once per closed delivery task of the order, with the task's position."""
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
-    positions = task_batch_index(tables, policy=policy).select(F.col("orderid_oid").alias("order_id"), "batch_index")
-    return left_join_any(trip_rows(kept, tables, warehouse_or_store()), positions, "order_id", policy).select(
+    positions = task_batch_index(tables, policy=policy, orders=kept).select(
+        F.col("orderid_oid").alias("order_id"), "batch_index"
+    )
+    return left_join_any(trip_rows(kept, tables, warehouse_or_store()), positions, "order_id").select(
         *TRIP_COLUMNS, "batch_index"
     )

@@ -26,6 +26,7 @@ from legmeter.operators.ordered_groups import OrderedGroups, mark_groups
 from legmeter.operators.orders import in_warehouses, market_rows, start_point, with_zone
 from legmeter.sources.tables import Tables
 
+# Output columns.
 LEG_COLUMNS = [
     "order_id", "deliver_date_l", "is_batched", "delivery_batch_index", "delivery_job_oid", "warehouse_id",
     "courier_id", "courier_fleetvehicle_oid", "order_number", "warehouse_lon", "warehouse_lat", "to_lon", "to_lat",
@@ -66,8 +67,11 @@ def next_order_after_refill(
 ) -> DataFrame:
     """Refill events of the window with the courier's next order, looked for up to two hours past the end."""
     wide = window.widened(ahead_hours=REFILL_LOOK_AHEAD_HOURS)
+    # Only refills are asked for, and only rows with an order can answer; all others stay out of the window.
     events = in_days(tables.courier_status_logs, wide).filter(
-        within(F.col("createdat"), wide) & in_warehouses(F.col("warehouse_oid"), warehouses)
+        within(F.col("createdat"), wide)
+        & in_warehouses(F.col("warehouse_oid"), warehouses)
+        & ((F.col("data_reason_oid") == reasons.refill) | F.col("marketorder_oid").isNotNull())
     )
     # The zone hangs on the warehouse master row, so an unknown warehouse has none.
     zones = tables.warehouse_locations.join(

@@ -18,23 +18,23 @@ VIEWS: dict[str, str] = {
 select concat('W', s_suppkey) as _id_oid, s_name as name,
   28.5e0 + (s_suppkey * 37 % 100) / 200e0 as location__coordinates_lon,
   40.8e0 + (s_suppkey * 53 % 100) / 400e0 as location__coordinates_lat
-from supplier where s_suppkey < 10""",
+from supplier""",
     "warehouse_locations": """
 select concat('W', s_suppkey) as warehouse,
-  case s_suppkey % 5 when 0 then 'Europe/Istanbul' when 1 then 'Europe/London' when 2 then 'America/New_York'
-    when 3 then 'Asia/Tokyo' else 'UTC' end as country_time_zone
-from supplier where s_suppkey < 9""",
+  case when s_suppkey % 10 <> 9 then case s_suppkey % 5 when 0 then 'Europe/Istanbul' when 1 then 'Europe/London'
+    when 2 then 'America/New_York' when 3 then 'Asia/Tokyo' else 'UTC' end end as country_time_zone
+from supplier""",
     "warehouse_domaintypes": """
-select concat('W', s_suppkey % 10) as _p_id_oid, case when s_suppkey % 2 = 0 then 4 else 1 end as domaintypes
+select concat('W', cast(floor(s_suppkey / 2) as bigint)) as _p_id_oid, case when s_suppkey % 2 = 0 then 4 else 1 end as domaintypes
 from supplier""",
     "base_orders": """
-select *, cast(floor(o_orderkey / 3) as bigint) as job,
+select *, cast(floor(o_orderkey / 3) as bigint) as job, (select count(*) from supplier) as places,
   {adds:{adds:cast('1998-01-01 00:00:00' as {N})|(cast(floor(o_orderkey / 3) as bigint) * 104729) % 2592000}|(o_orderkey % 3) * 600} as eff
 from orders""",
     "marketorders": """
-select cast(o_orderkey as {S}) as _id_oid, concat('W', job % 10) as warehouse_warehouse_oid,
-  case when o_orderkey % 17 = 0 then null else concat('C', job % 40) end as courier_courier_oid,
-  concat('V', job % 20) as courier_fleetvehicle_oid,
+select cast(o_orderkey as {S}) as _id_oid, concat('W', job % places) as warehouse_warehouse_oid,
+  case when o_orderkey % 17 = 0 then null else concat('C', job % (4 * places)) end as courier_courier_oid,
+  concat('V', job % (2 * places)) as courier_fleetvehicle_oid,
   case o_orderkey % 5 when 4 then 500 when 1 then 1000 when 3 then 1000 else 900 end as status,
   case when o_orderkey % 5 <> 4 then eff end as deliver_date,
   case when o_orderkey % 5 = 4 then eff end as cancel_date,
@@ -45,14 +45,14 @@ select cast(o_orderkey as {S}) as _id_oid, concat('W', job % 10) as warehouse_wa
   case when job % 4 <> 0 then concat('J', job) end as delivery_job_oid,
   28.5e0 + (o_custkey % 1000) / 1000e0 as delivery_address_location__coordinates_lon,
   40.8e0 + (o_custkey * 7 % 1000) / 2000e0 as delivery_address_location__coordinates_lat,
-  28.5e0 + ((job % 10) * 37 % 100) / 200e0 as warehouse_location__coordinates_lon,
-  40.8e0 + ((job % 10) * 53 % 100) / 400e0 as warehouse_location__coordinates_lat
+  28.5e0 + ((job % places) * 37 % 100) / 200e0 as warehouse_location__coordinates_lon,
+  40.8e0 + ((job % places) * 53 % 100) / 400e0 as warehouse_location__coordinates_lat
 from base_orders""",
     "food_orders": """
 select cast(o_orderkey as {S}) as _id_oid,
-  case when o_orderkey % 7 = 0 then null else concat('W', o_custkey % 10) end as courierwarehouse_oid,
-  concat('W', o_custkey % 9) as courierstore_oid,
-  case when o_orderkey % 17 = 0 then null else concat('C', o_custkey % 40) end as courier_oid,
+  case when o_orderkey % 7 = 0 then null else concat('W', o_custkey % places) end as courierwarehouse_oid,
+  concat('W', o_custkey % (places - 1)) as courierstore_oid,
+  case when o_orderkey % 17 = 0 then null else concat('C', o_custkey % (4 * places)) end as courier_oid,
   case o_orderkey % 5 when 4 then 500 when 1 then 1000 when 3 then 1000 else 900 end as status,
   case when o_orderkey % 5 <> 4 then eff end as deliverdate,
   case when o_orderkey % 5 = 4 then eff end as canceldate,
@@ -73,10 +73,10 @@ from lineitem""",
 select cast(event_id as {S}) as _id_oid,
   case when event_type in ('view', 'purchase') then cast(event_id as {S}) end as marketorder_oid,
   {addd:ts|-9496} as createdat, {adds:{addd:ts|-9496}|10800} as createdatl,
-  concat('W', user_id % 10) as warehouse_oid, concat('C', user_id % 40) as courier_oid,
+  concat('W', user_id % (select count(*) from supplier)) as warehouse_oid, concat('C', user_id % (4 * (select count(*) from supplier))) as courier_oid,
   concat('F', user_id % 3) as currentmarketemployer_franchise_oid,
   case event_type when 'error' then 'refill' when 'click' then 'busy' end as data_reason_oid,
-  concat('V', user_id % 20) as data_plate,
+  concat('V', user_id % (2 * (select count(*) from supplier))) as data_plate,
   case when event_type = 'signup' then 4100 when event_id % 5 = 0 then 300 else 200 end as newstatus,
   case when event_id % 2 = 0 then 900 else 400 end as oldstatus,
   28.5e0 + value / 1000e0 as location__coordinates_lon, 40.8e0 + value / 2000e0 as location__coordinates_lat
@@ -94,25 +94,25 @@ from orders where o_orderkey % 3 <> 1""",
     "artisan_distances": "select * from food_distances",
     "orders_distances": """
 select cast(o_orderkey as {S}) as _id_oid, 1 as step,
-  case when o_orderkey % 11 = 0 then null else (o_orderkey % 300) / 10e0 end as corrected_distance
-from orders where o_orderkey % 2 = 0""",
+  case when o_orderkey % 11 = 0 or o_orderkey % 2 = 1 then null else (o_orderkey % 300) / 10e0 end as corrected_distance
+from orders""",
     "routes_market": """
 select cast(o_orderkey as {S}) as _id_oid,
   case o_orderkey % 3 when 0 then '_p~iF~ps|U_ulLnnqC_mqNvxq`@' when 1 then '_p~iF~ps|U' else '' end as encoded_latlons,
   case o_orderkey % 4 when 0 then '0;2s;5k' when 1 then '2s;' when 2 then '' else '2s;5k;8c;b4' end as encoded_time,
-  eff as start_time, eff as checkout_date_l, concat('W', job % 10) as warehouse
-from base_orders where o_orderkey % 2 = 0""",
+  eff as start_time, eff as checkout_date_l, concat('W', job % places) as warehouse
+from base_orders""",
     "fleet_vehicle_km_logs": """
-select cast(l_orderkey as {S}) as order_id, concat('C', l_suppkey % 40) as courier_id,
+select cast(l_orderkey as {S}) as order_id, concat('C', l_suppkey % (4 * (select count(*) from supplier))) as courier_id,
   cast(l_shipdate as date) as date_l, case l_linenumber % 3 when 0 then 1 when 1 then 2 else 6 end as order_domain,
   l_linenumber as step, case when l_returnflag = 'A' then null else l_quantity / 10 end as osrm, l_quantity / 8 as km
 from lineitem""",
     # Targets and landing data, also drawn from the test tables.
     "refill_distances": """
-select concat('W', user_id % 10) as warehouse_id, {adds:{addd:ts|-9496}|10800} as createdatl,
-  concat('C', user_id % 40) as courier_id, concat('F', user_id % 3) as courier_franchise_id,
+select concat('W', user_id % (select count(*) from supplier)) as warehouse_id, {adds:{addd:ts|-9496}|10800} as createdatl,
+  concat('C', user_id % (4 * (select count(*) from supplier))) as courier_id, concat('F', user_id % 3) as courier_franchise_id,
   value / 10e0 as refill_distance, 'osrm' as distance_type, cast(event_id as {S}) as log_id, 'refill' as type
-from events where event_type <> 'view'""",
+from events""",
     "route_points": """
 select cast(l_orderkey as {S}) as _id_oid, {adds:eff|l_linenumber * 60} as time,
   28.5e0 + (l_partkey % 1000) / 1000e0 as lon, 40.8e0 + (l_suppkey % 1000) / 2000e0 as lat

@@ -37,5 +37,5 @@ def test_matches_sql(spark, duck, name):
 def test_entry_runs():
     import __spark_entry__ as contract
 
-    assert set(contract.queries()) == set(QUERIES)
-    assert set(contract.oracle_sql()) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
