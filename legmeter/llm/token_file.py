@@ -115,7 +115,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("part_start"))
-    return blocks.join(parts, "part").withColumn("block_start", F.col("part_start") + F.col("first"))
+    # A row of two numbers per written file, so it is broadcast rather than the payloads shuffled.
+    return blocks.join(F.broadcast(parts), "part").withColumn("block_start", F.col("part_start") + F.col("first"))
 
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
