@@ -18,7 +18,7 @@ import numpy as np
 from legmeter.llm.words import kept_by_process
 
 #: Distinct pieces that one worker remembers; the cache starts anew when it is full.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 END_ID = 2
 #: Punctuation that never joins the letters before it.
 _MARKS = ".,;:!?#$%&*"
