@@ -109,3 +109,67 @@ select conv_id,
     + length({_ESCAPED.format('text')}) + 10 + 1) as bigint) as formatted_chars
 from turns group by conv_id
 """
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+# Every row of the table by number, and every word by row and place.
+_ROWS = f"""
+texts as materialized (
+  select row_number() over () as k, doc_id, coalesce(text, '') as body, {_WORDS} as words from documents
+), placed as (
+  select k, doc_id, unnest(words) as word, generate_subscripts(words, 1) as i from texts
+)"""
+
+
+def _rule(rule: quality.Rule) -> str:
+    bounds = [f"{rule.measure} >= {rule.low!r}"] if rule.low is not None else []
+    bounds += [f"{rule.measure} <= {rule.high!r}"] if rule.high is not None else []
+    return f"coalesce(n_words < {rule.from_words} or ({' and '.join(bounds)}), true)"
+
+
+_STOPS = ", ".join(sorted({f"'{form}'" for words in quality.STOP_WORDS.values() for w in words for form in (w, w.capitalize())}))
+SQL["op1_quality_rules"] = rf"""
+with {_ROWS.strip()}, windows as (
+  select k, i, [word, lead(word, 1) over w, lead(word, 2) over w, lead(word, 3) over w, lead(word, 4) over w] as five
+  from placed window w as (partition by k order by i)
+), again as (
+  select k, i from windows where five[5] is not null qualify count(*) over (partition by k, five) > 1
+), repeated as (
+  select k, count(distinct i + j) as n from again, range(5) as r(j) group by k
+), stops as (
+  select k, count(*) as n from placed where word in ({_STOPS}) group by k
+), measured as (
+  select doc_id, len(words) as n_words,
+    cast(length(list_aggregate(words, 'string_agg', '')) as bigint) as chars,
+    cast(length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
+    [x for x in string_split(body, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines,
+    coalesce(r.n, 0) as n_repeat_words, coalesce(s.n, 0) as n_stops
+  from texts left join repeated r using (k) left join stops s using (k)
+), ratios as (
+  select doc_id, n_words, coalesce(chars, 0) as word_chars, n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, n_repeat_words,
+    n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    chars / nullif(n_words, 0) as mean_word_length, n_symbols / nullif(n_words, 0) as symbol_ratio,
+    n_stops / nullif(n_words, 0) as stop_ratio,
+    (len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0) as duplicate_line_ratio
+  from measured
+)
+select *, not base_failed and {' and '.join(_rule(rule) for rule in quality.RULES)} as kept from ratios
+"""
+SQL["op7_substring_dedup"] = f"""
+with {_ROWS.strip()}, windows as (
+  select k, doc_id, i, word, md5(string_agg(word, ' ') over w) as passage, count(*) over w = {substrings.WINDOW} as whole
+  from placed window w as (partition by k order by i rows between current row and {substrings.WINDOW - 1} following)
+), first_seen as (
+  select passage, min(doc_id) as first_id from windows where whole group by passage
+), judged as (
+  select k, i, word, coalesce(whole and first_id < doc_id, false) as gone from windows left join first_seen using (passage)
+), covered as (
+  select k, i, word, max(gone) over (partition by k order by i rows between {substrings.WINDOW - 1} preceding and current row) as gone
+  from judged
+), kept as (
+  select k, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as body from covered group by k
+)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept.body, '')) as kept_sha256
+from texts left join kept using (k)
+"""

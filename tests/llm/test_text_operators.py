@@ -8,8 +8,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
+from compare import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -439,6 +441,14 @@ def test_every_stage_decides_on_what_the_last_one_kept(spark):
     assert {r.doc_id for r in whole.collect()} == ids(after)
 
 
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op7_substring_dedup"])
+def test_sql_agrees_on_awkward_rows(spark, awkward, tmp_path, name):
+    awkward.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert spark_rows(QUERIES[name](spark, str(tmp_path))) == duck_rows(con, SQL[name])
+
+
 def test_registered_queries():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
     assert numbers == list(range(1, 11))
