@@ -10,6 +10,7 @@ import re
 
 from legmeter.catalog.queries import FLEET_DAYS, RETENTION_START, SOME_WAREHOUSES, TRIP_POINTS, UPDATED_AT, WINDOW
 from legmeter.operators.legs import TRIP_LEGS
+from legmeter.sources.standins import STEPS as STEPS_OF_POINTS
 from legmeter.sources.standins import VIEWS, render
 
 START, END = f"timestamp '{WINDOW.start}'", f"timestamp '{WINDOW.end}'"
@@ -354,19 +355,24 @@ where {between_dates("o.deliver_date")}""",
     "gps_final": f"""
 select distinct _id_oid, step, to_lon, to_lat, from_lon, from_lat, distance, distance_type, {NOW} as updated_at,
   cast(null as double) as duration from gps_info""",
+    "spots": f"""
+select shape, i, {STEPS_OF_POINTS["lat"]} as z_lat, {STEPS_OF_POINTS["lon"]} as z_lon
+from (select *, unnest(range(1, n_points + 1)) as i from route_shapes) as x""",
     "known_points": """
-select * from (values ('_p~iF~ps|U_ulLnnqC_mqNvxq`@', 1, 0.385, -1.202), ('_p~iF~ps|U_ulLnnqC_mqNvxq`@', 2, 0.407, -1.2095),
-  ('_p~iF~ps|U_ulLnnqC_mqNvxq`@', 3, 0.43252, -1.26453), ('_p~iF~ps|U', 1, 0.385, -1.202)) as v(encoded_latlons, pos, lat, lon)""",
+select shape, i, sum(case when z_lat % 2 = 1 then -(z_lat + 1) / 2 else z_lat / 2 end) over along / 1e7 as lat,
+  sum(case when z_lon % 2 = 1 then -(z_lon + 1) / 2 else z_lon / 2 end) over along / 1e7 as lon
+from spots window along as (partition by shape order by i)""",
+    # A single time that is left out makes an empty text, which is a route without times.
     "known_offsets": """
-select encoded_time, pos, cast(seconds as double) as seconds from (values ('0;2s;5k', 1, 0), ('0;2s;5k', 2, 5),
-  ('0;2s;5k', 3, 10), ('2s;', 1, 5), ('2s;', 2, null), ('2s;5k;8c;b4', 1, 5), ('2s;5k;8c;b4', 2, 10),
-  ('2s;5k;8c;b4', 3, 15), ('2s;5k;8c;b4', 4, 20)) as v(encoded_time, pos, seconds)""",
+select shape, i, case when (shape + i) % 13 <> 0
+  then (i - 1) * (shape % 50 + 1) * case when i > 1 and shape % 19 = 4 then -1e0 else 1e0 end end as seconds
+from (select *, unnest(range(1, n_times + 1)) as i from route_shapes where not (n_times = 1 and (shape + 1) % 13 = 0)) as x""",
+    "timed_points": """
+select p.shape, p.i, p.lat, p.lon, o.seconds from known_points p left join known_offsets o on p.shape = o.shape and p.i = o.i
+where o.i is not null or p.shape not in (select shape from known_offsets)""",
     "all_points": """
-select r._id_oid, case when o.seconds <> 0 then r.start_time + to_seconds(cast(o.seconds as bigint)) end as time,
-  cast(p.lon as double) as lon, cast(p.lat as double) as lat
-from routes_market r join known_points p on r.encoded_latlons = p.encoded_latlons
-  left join known_offsets o on r.encoded_time = o.encoded_time and p.pos = o.pos
-where r.encoded_time = '' or o.pos is not null""",
+select cast(o_orderkey as varchar) as _id_oid, case when seconds <> 0 then eff + to_seconds(cast(seconds as bigint)) end as time, lon, lat
+from base_orders join timed_points on o_orderkey % 3001 = shape""",
     "window_points": f"""
 select p.* from all_points p join marketorders o on p._id_oid = o._id_oid
 where {between_dates("coalesce(deliver_date, cancel_date)")}""",
@@ -543,8 +549,8 @@ union all select * replace (-1 as step) from gps_info where distance is not null
     "finalize_gps": "select * from gps_final",
     "gps_routes": "select * from window_points",
     "route_time_decode": """
-select _id_oid, cast(pos - 1 as integer) as position, seconds from routes_market r
-join known_offsets o on r.encoded_time = o.encoded_time""",
+select cast(o_orderkey as varchar) as _id_oid, cast(i - 1 as integer) as position, seconds
+from orders join known_offsets on o_orderkey % 3001 = shape""",
     "route_points": "select * from all_points",
     "route_dedup": """
 select _id_oid, start_time, encoded_latlons, encoded_time from (

@@ -16,6 +16,8 @@ OFFSET_BASE = 36
 OFFSETS_PER_SECOND = 20
 OFFSET_SEPARATOR = ";"
 OFFSET_PIECE = r"^[+-]?[0-9A-Za-z]+$"
+# A step between two points of the earth needs 33 bits; a number of more characters would not fit 64 bits.
+LONGEST_NUMBER = 12
 
 POINTS_TYPE = T.ArrayType(
     T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
@@ -28,6 +30,7 @@ def decode_points_batch(routes: pa.Array) -> pa.Array:
     Every character carries five bits, low bits first, and a flag for "more to come". The numbers
     are steps of latitude and longitude in turn, the sign in the lowest bit, so a running sum per
     route gives the points. Characters that start no whole pair at the end of a route are dropped.
+    A damaged route (a character outside the alphabet, a number too long for a coordinate) is null.
     """
     routes = routes.combine_chunks() if isinstance(routes, pa.ChunkedArray) else routes
     texts = routes.fill_null("").cast(pa.large_binary())
@@ -49,21 +52,25 @@ def decode_points_batch(routes: pa.Array) -> pa.Array:
 
     lengths = ends - first + 1
     position = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    bits = (values[np.repeat(first, lengths) + position] & 31) << (BITS_PER_CHAR * position)
+    short = np.minimum(position, LONGEST_NUMBER - 1)
+    bits = (values[np.repeat(first, lengths) + position] & 31) << (BITS_PER_CHAR * short)
     raw = np.add.reduceat(bits, np.cumsum(lengths) - lengths) if len(lengths) else np.empty(0, np.int64)
     steps = np.where(raw & 1, ~(raw >> 1), raw >> 1)
 
+    damaged = np.zeros(len(per_route), dtype=bool)
+    damaged[route_of[lengths > LONGEST_NUMBER]] = True
+    strange = np.flatnonzero((values < 0) | (values >= 2 << BITS_PER_CHAR))
+    damaged[np.searchsorted(starts, strange, side="right") - 1] = True
+
     # Keep whole pairs, then sum latitude and longitude along each route.
-    pairs = per_route // 2
+    pairs = np.where(damaged, 0, per_route // 2)
     within_route = np.arange(len(steps)) - counts[route_of]
     paired = steps[within_route < 2 * pairs[route_of]].reshape(-1, 2)
     before = np.cumsum(pairs) - pairs
     running = np.vstack([np.zeros((1, 2), dtype=np.int64), np.cumsum(paired, axis=0)])
     points = (running[1:] - np.repeat(running[before], pairs, axis=0)) / COORDINATE_SCALE
-    offsets = pa.array(
-        np.concatenate([[0], np.cumsum(pairs)]).astype(np.int32),
-        mask=np.append(routes.is_null().to_numpy(zero_copy_only=False), False) if routes.null_count else None,
-    )
+    absent = damaged | routes.is_null().to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(pairs)]).astype(np.int32), mask=np.append(absent, False))
     structs = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], names=["lat", "lon"])
     return pa.ListArray.from_arrays(offsets, structs)
 

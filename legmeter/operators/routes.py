@@ -15,6 +15,13 @@ def latest_routes(routes: DataFrame) -> DataFrame:
     return routes.groupBy("_id_oid").agg(newest).select("_id_oid", "_newest.*")
 
 
+def damaged_routes(routes: DataFrame) -> DataFrame:
+    """``damaged``: how many routes have a text that cannot be decoded. Such routes give no points."""
+    points = routes.select("encoded_latlons", route_points("encoded_latlons").alias("_points"))
+    bad = F.col("encoded_latlons").isNotNull() & F.col("_points").isNull()
+    return points.agg(F.count_if(bad).alias("damaged"))
+
+
 def route_to_points(routes: DataFrame, zero_offset_is_null: bool = True) -> DataFrame:
     """Rows ``(_id_oid, time, lon, lat)`` in route order.
 

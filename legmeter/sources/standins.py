@@ -1,7 +1,8 @@
 """The logical tables as views over the test tables, each written once for Spark and DuckDB.
 
 Placeholders: ``{S}`` text type, ``{N}`` zone-less timestamp type, ``{adds:t|n}`` and ``{addd:t|n}``
-add seconds and days.
+add seconds and days, ``{glue:n|x}`` and ``{semi:n|x}`` put together ``x`` for ``i`` from 1 to ``n`` (with ``;``
+in between), ``{b36:x|36}`` is a whole number in base 36.
 """
 
 from __future__ import annotations
@@ -13,6 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from legmeter.sources.tables import Tables
 
+# Steps of latitude and longitude of point ``i`` as the route text stores them: doubled, odd if negative. The first
+# point is far away, the others are small steps of both signs.
+STEPS = {
+    "lat": "case when i = 1 then 816000000 + shape * 7919 % 1000000 else (shape * 31 + i * 7919) % 65536 end",
+    "lon": "case when i = 1 then 570000000 + shape * 104729 % 1000000 else (shape * 37 + i * i * 101) % 40000 end",
+}
+
+
+def number_text(value: str) -> str:
+    """SQL of a whole number below 2**30 in the route alphabet: five bits a character, low bits first."""
+    characters = []
+    for k in range(6):
+        more = f"case when ({value}) >= {32 ** (k + 1)} then 95 else 63 end"
+        character = f"chr(cast({more} + cast(floor(({value}) / {32**k}) as bigint) % 32 as int))"
+        characters.append(character if k == 0 else f"case when ({value}) >= {32**k} then {character} else '' end")
+    return f"concat({', '.join(characters)})"
+
+
 VIEWS: dict[str, str] = {
     "warehouses": """
 select concat('W', s_suppkey) as _id_oid, s_name as name,
@@ -96,12 +115,21 @@ from orders where o_orderkey % 3 <> 1""",
 select cast(o_orderkey as {S}) as _id_oid, 1 as step,
   case when o_orderkey % 11 = 0 or o_orderkey % 2 = 1 then null else (o_orderkey % 300) / 10e0 end as corrected_distance
 from orders""",
+    # 3001 routes of 0 to 8 points, one of 300; times may be missing, fewer or more than the points.
+    "route_shapes": """
+select shape, cast(case when shape = 5 then 300 else shape % 9 end as int) as n_points,
+  cast(case shape % 5 when 0 then 0 when 1 then shape % 9 + 1 when 2 then shape % 4 else shape % 9 end as int) as n_times
+from (select distinct o_orderkey % 3001 as shape from orders) as s""",
+    "route_texts": f"""
+select shape, concat(case when n_points = 0 then '' else {{glue:n_points|concat({number_text(STEPS["lat"])}, {number_text(STEPS["lon"])})}} end,
+    case when shape % 10 = 3 then 'A' else '' end) as encoded_latlons,
+  case when n_times = 0 then '' else {{semi:n_times|case when (shape + i) % 13 = 0 then '' else
+    concat(case when i > 1 and shape % 19 = 4 then '-' else '' end, {{b36:(i - 1) * (shape % 50 + 1) * 20|36}}) end}} end as encoded_time
+from route_shapes""",
     "routes_market": """
-select cast(o_orderkey as {S}) as _id_oid,
-  case o_orderkey % 3 when 0 then '_p~iF~ps|U_ulLnnqC_mqNvxq`@' when 1 then '_p~iF~ps|U' else '' end as encoded_latlons,
-  case o_orderkey % 4 when 0 then '0;2s;5k' when 1 then '2s;' when 2 then '' else '2s;5k;8c;b4' end as encoded_time,
-  eff as start_time, eff as checkout_date_l, concat('W', job % places) as warehouse
-from base_orders""",
+select cast(o_orderkey as {S}) as _id_oid, encoded_latlons, encoded_time, eff as start_time, eff as checkout_date_l,
+  concat('W', job % places) as warehouse
+from base_orders join route_texts on o_orderkey % 3001 = shape""",
     "fleet_vehicle_km_logs": """
 select cast(l_orderkey as {S}) as order_id, concat('C', l_suppkey % (4 * (select count(*) from supplier))) as courier_id,
   cast(l_shipdate as date) as date_l, case l_linenumber % 3 when 0 then 1 when 1 then 2 else 6 end as order_domain,
@@ -141,12 +169,18 @@ _DIALECTS = {
         "N": "timestamp_ntz",
         "adds": lambda t, n: f"timestampadd(SECOND, cast({n} as int), {t})",
         "addd": lambda t, n: f"timestampadd(DAY, {n}, {t})",
+        "glue": lambda n, x: f"array_join(transform(sequence(1, {n}), i -> {x}), '')",
+        "semi": lambda n, x: f"array_join(transform(sequence(1, {n}), i -> {x}), ';')",
+        "b36": lambda x, base: f"lower(conv({x}, 10, {base}))",
     },
     "duckdb": {
         "S": "varchar",
         "N": "timestamp",
         "adds": lambda t, n: f"({t} + to_seconds({n}))",
         "addd": lambda t, n: f"({t} + to_days({n}))",
+        "glue": lambda n, x: f"array_to_string([{x} for i in range(1, {n} + 1)], '')",
+        "semi": lambda n, x: f"array_to_string([{x} for i in range(1, {n} + 1)], ';')",
+        "b36": lambda x, base: f"lower(to_base({x}, {base}))",
     },
 }
 
@@ -156,7 +190,7 @@ def render(name: str, dialect: str) -> str:
     words = _DIALECTS[dialect]
     text = VIEWS[name].strip()
     text = text.replace("{S}", words["S"]).replace("{N}", words["N"])
-    inner = re.compile(r"\{(adds|addd):([^{}|]+)\|([^{}|]+)\}")
+    inner = re.compile(r"\{(adds|addd|glue|semi|b36):([^{}|]+)\|([^{}|]+)\}")
     while True:
         changed = inner.sub(lambda m: words[m.group(1)](m.group(2), m.group(3)), text)
         if changed == text:

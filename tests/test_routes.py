@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from legmeter.functions.routes import decode_points_batch, route_offsets
-from legmeter.operators.routes import latest_routes, route_to_points
+from legmeter.operators.routes import damaged_routes, latest_routes, route_to_points
 
 START = datetime(1998, 1, 10)
 SAMPLE = "_p~iF~ps|U_ulLnnqC_mqNvxq`@"
@@ -50,6 +50,14 @@ def test_a_cut_route_does_not_leak_into_the_next():
     assert decode(["_p~iF~ps|", "_p~iF", SAMPLE]) == [[], [], SAMPLE_POINTS]
 
 
+def test_damaged_routes_are_null_and_counted(spark):
+    long_number, strange, high = "~" * 14 + "?" + "A", "_p~iF\u00e9~ps|U", "_p~iF\x7f~ps|U"
+    texts = [SAMPLE, long_number, strange, None, "_p iF~ps|U", high, SAMPLE]
+    assert decode(texts) == [SAMPLE_POINTS, None, None, None, None, None, SAMPLE_POINTS]
+    frame = spark.createDataFrame([(t,) for t in texts], "encoded_latlons string")
+    assert damaged_routes(frame).first().damaged == 4
+
+
 POINT = st.tuples(st.integers(-900_000_000, 900_000_000), st.integers(-1_800_000_000, 1_800_000_000))
 
 
