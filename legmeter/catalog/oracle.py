@@ -291,6 +291,20 @@ where data_reason_oid = 'refill' and {between_dates("createdat")}""",
     "water_legs": water_legs("water_seq", "eff"),
     "water_single": single("water_legs"),
     "water_priced": priced("water_single"),
+    "road_final": f"""
+select distinct order_id as _id_oid, step, x2 as to_lon, y2 as to_lat, x1 as from_lon, y1 as from_lat,
+  round(metres / 1000, 6) as distance, 'osrm' as distance_type, {NOW} as updated_at, round(metres / 8, 6) as duration
+from (select order_id, step, x1, y1, x2, y2, metres from market_priced
+  union all select order_id, step, x1, y1, x2, y2, metres from water_priced) as u where metres is not null""",
+    "gap_priced": f"""
+select order_id, step, is_return, x1, y1, x2, y2, avg_distance, metres from ({priced("market_gap_both")}) as m
+union all select order_id, step, is_return, x1, y1, x2, y2, avg_distance, metres from ({priced("water_gap_single")}) as w""",
+    "gap_final": f"""
+select distinct order_id as _id_oid, step, x2 as to_lon, y2 as to_lat, x1 as from_lon, y1 as from_lat,
+  round(coalesce(metres / 1000, case when not is_return then avg_distance end), 6) as distance,
+  case when metres is null then 'predicted' else 'osrm' end as distance_type, {NOW} as updated_at,
+  round(metres / 8, 6) as duration
+from gap_priced where metres is not null or (avg_distance is not null and not is_return)""",
     "refill_trips": f"""
 select l._id_oid as log_id, marketorder_oid, createdat, createdatl, cast(createdatl as date) as date_l,
   warehouse_oid as warehouse_id, w.name, l.location__coordinates_lon as refill_lon,
@@ -433,6 +447,48 @@ def partner_trips(domain: int) -> str:
     return f"select distinct {null_columns(present, PARTNER_TRIP_NULLS)} from feed where domain_type = {domain}"
 
 
+PARTNER_LEGS = f"""
+select distinct {null_columns("order_id as _id_oid, step, distance, distance_type, updated_at",
+  {c: "double" for c in ("to_lon", "to_lat", "from_lon", "from_lat", "duration")})} from feed where domain_type in (1, 3, 4)"""
+
+
+def stacked(**tables: str) -> str:
+    return " union all by name ".join(f"select '{name}' as result, * from ({text}) as t" for name, text in tables.items())
+
+
+def legs_straight() -> str:
+    metres = straight("x1", "y1", "x2", "y2")
+    return f"""
+select distinct order_id as _id_oid, step, x2 as to_lon, y2 as to_lat, x1 as from_lon, y1 as from_lat,
+  round(metres / 1000, 6) as distance, 'haversine' as distance_type, {NOW} as updated_at, round(metres / 8, 6) as duration
+from (select order_id, step, x1, y1, x2, y2, {metres} as metres from (select order_id, step, x1, y1, x2, y2 from market_both
+  union all select order_id, step, x1, y1, x2, y2 from water_single) as u) as m where metres is not null"""
+
+
+def refill_straight() -> str:
+    metres = straight("refill_lon", "refill_lat", "warehouse_lon", "warehouse_lat")
+    return f"""
+select distinct warehouse_id, createdatl, courier_id, courier_franchise_id, refill_lon as lon, refill_lat as lat,
+  round(metres / 1000, 6) as refill_distance, 'haversine' as distance_type, {NOW} as updated_at,
+  round(metres / 8, 6) as duration, log_id, type
+from (select *, {metres} as metres from refill_trips) as m where metres is not null"""
+
+
+def trip_gap_final(orders: str, step: str) -> str:
+    """Trips of orders with a gap: a leg without a price takes the average, which has no duration."""
+    legs = ", ".join(f"coalesce({leg} / 1000, {leg}_avg) as km_{leg}" for leg in TRIP_LEGS)
+    filled = " or ".join(f"({leg} is null and {leg}_avg is not null)" for leg in TRIP_LEGS)
+    shown = ", ".join(f"round(km_{leg}, 6) as {leg}, round({leg}_duration, 6) as {leg}_duration" for leg in TRIP_LEGS)
+    known = " and ".join(f"km_{leg} is not null" for leg in TRIP_LEGS)
+    return f"""
+select distinct order_id as _id_oid, warehouse_lon as store_lon, warehouse_lat as store_lat, restaurant_lon,
+  restaurant_lat, to_lon as client_lon, to_lat as client_lat, {shown}, {NOW} as updated_at,
+  case when {filled} then 'predicted' else 'osrm' end as distance_type,
+  round({" + ".join(f"km_{leg}" for leg in TRIP_LEGS)}, 6) as distance, cast({step} as integer) as step,
+  round({" + ".join(f"{leg}_duration" for leg in TRIP_LEGS)}, 6) as duration
+from (select *, {legs} from ({trip_priced(orders)}) as p) as q where {known}"""
+
+
 ANSWERS: dict[str, str] = {
     "sql_template": f"""
 select order_id, step, osrm, km from fleet_vehicle_km_logs
@@ -558,9 +614,7 @@ select _id_oid, start_time, encoded_latlons, encoded_time from (
     select _id_oid, start_time, encoded_latlons, encoded_time from routes_market
     union all select _id_oid, start_time + to_seconds(case when cast(_id_oid as bigint) % 4 = 0 then 3600 else -3600 end),
       encoded_latlons[1:10], '2s' from routes_market) as u) as v where n = 1""",
-    "partner_arrange_market": f"""
-select distinct {null_columns("order_id as _id_oid, step, distance, distance_type, updated_at",
-  {c: "double" for c in ("to_lon", "to_lat", "from_lon", "from_lat", "duration")})} from feed where domain_type in (1, 3, 4)""",
+    "partner_arrange_market": PARTNER_LEGS,
     "partner_arrange_food": partner_trips(2),
     "partner_arrange_artisan": partner_trips(6),
     "water_km_capped": "select * from water_km",
@@ -570,12 +624,27 @@ where date_l between date '{FLEET_DAYS[0]}' and date '{FLEET_DAYS[1]}' and osrm
     "run_counts": """
 select 'market' as line, count(*) as rows from market_legs union all select 'water', count(*) from water_legs
 union all select 'food', count(*) from food_info union all select 'artisan', count(*) from artisan_info""",
-    "run_osrm": f"""
-select 'haversine' as distance_type, step, count(*) as legs, round(sum(km), 6) as km
-from (select distinct order_id, step, x1, y1, x2, y2, {straight("x1", "y1", "x2", "y2")} / 1000 as km
-  from (select order_id, step, x1, y1, x2, y2 from market_both
-    union all select order_id, step, x1, y1, x2, y2 from water_single) as u) as d
-where km is not null group by step""",
+    "run_osrm": stacked(leg_distances=legs_straight(), refill_distances=refill_straight()),
+    "run_osrm_all": stacked(
+        leg_distances="select * from road_final", refill_distances="select * from refill_final",
+        food_distances="select * from food_final", artisan_distances="select * from artisan_final",
+    ),
+    "run_gps": stacked(gps_distances="select * from gps_final", route_points="select * from window_points"),
+    "run_both": stacked(
+        food_distances="select * from food_final", gps_distances="select * from gps_final",
+        route_points="select * from window_points",
+    ),
+    "run_monthly_missing": stacked(
+        leg_distances="select * from gap_final", food_distances=trip_gap_final("food_gap", "null"),
+        artisan_distances=trip_gap_final("artisan_gap", "batch_index"),
+    ),
+    "run_partner": stacked(
+        leg_distances=PARTNER_LEGS, food_distances=partner_trips(2), artisan_distances=partner_trips(6)
+    ),
+    "store_market": merged("leg_target", "market_final", ("_id_oid", "distance_type"), LEG_ORDER),
+    "store_refill": merged("refill_target", "refill_final", ("courier_id", "createdatl"), REFILL_ORDER),
+    "store_route": merged("route_points", "window_points", ("_id_oid",), "_id_oid, time, lon, lat"),
+    "expire_route": "select * from kept_points",
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, JobConfig, Reasons, RunWindow
+from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, ROAD, JobConfig, Reasons, RunWindow
 from legmeter.functions.routes import route_offsets
 from legmeter.functions.text import is_object_id
 from legmeter.functions.timing import day_start, effective_date, run_grid, to_home_zone, within
@@ -29,12 +30,16 @@ from legmeter.operators.pricing import LEG_POINTS, BatchPrices, GreatCircle, Tab
 from legmeter.operators.routes import latest_routes, route_to_points
 from legmeter.operators.upsert import (
     LEG_KEYS,
+    PART,
     POINT_KEYS,
     REFILL_KEYS,
     TRIP_KEYS,
+    expire_table,
     expired_routes,
+    merge_table,
     remaining,
     retain,
+    stored_table,
     upsert,
 )
 from legmeter.plans import export, finalize, gps, job, market, missing, trips, water
@@ -626,11 +631,97 @@ def run_counts(s: StandIns) -> DataFrame:
     return finalize.run_counts(**{name: lines[name] for name in ("market", "water", "food", "artisan")})
 
 
+@dataclass(frozen=True)
+class FormulaPrices:
+    """The stand-in road table as a plain expression; about a seventh of all legs has no price."""
+
+    label: str = ROAD
+
+    def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> FormulaPrices:
+        return self
+
+    def price(
+        self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
+    ) -> DataFrame:
+        lon1, lat1, lon2, lat2 = [F.col(point) for point in points]
+        metres = F.round(F.abs(lon2 - lon1) * 85000 + F.abs(lat2 - lat1) * 111000, 3)
+        known = F.when(F.round(lon2 * 1000).cast("long") % 7 != 0, metres)
+        return df.withColumn(distance, known).withColumn(duration, F.col(distance) / 8)
+
+
+def stacked(results: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every result table of a run, with the table's name."""
+    labelled = [rows.withColumn("result", F.lit(name)) for name, rows in results.items()]
+    whole = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), labelled)
+    return rounded(whole, *[name for name in (*TRIP_NUMBERS, "refill_distance") if name in whole.columns])
+
+
 @query
 def run_osrm(s: StandIns) -> DataFrame:
-    """A whole run over market and water, straight-line priced: legs and km per label and step."""
+    """Market, water and refill, straight-line priced."""
     config = JobConfig("osrm", WINDOW, UPDATED_AT, line="1")
-    legs = job.run(s.tables, config, GreatCircle(metres_per_second=8.0))["leg_distances"]
-    return legs.groupBy("distance_type", "step").agg(
-        F.count(F.lit(1)).alias("legs"), F.round(F.sum("distance"), 6).alias("km")
-    )
+    return stacked(job.run(s.tables, config, GreatCircle(metres_per_second=8.0)))
+
+
+@query
+def run_osrm_all(s: StandIns) -> DataFrame:
+    return stacked(job.run(s.tables, JobConfig("osrm", WINDOW, UPDATED_AT), FormulaPrices()))
+
+
+@query
+def run_gps(s: StandIns) -> DataFrame:
+    return stacked(job.run(s.tables, JobConfig("gps", WINDOW, UPDATED_AT)))
+
+
+@query
+def run_both(s: StandIns) -> DataFrame:
+    return stacked(job.run(s.tables, JobConfig("both", WINDOW, UPDATED_AT, line="2"), FormulaPrices()))
+
+
+@query
+def run_monthly_missing(s: StandIns) -> DataFrame:
+    return stacked(job.run(s.tables, JobConfig("monthly_missing", WINDOW, UPDATED_AT), FormulaPrices()))
+
+
+@query
+def run_partner(s: StandIns) -> DataFrame:
+    path = work_folder(s.spark, "feed")
+    s.frame("partner_rows").write.json(path)
+    return stacked(job.run(s.tables, JobConfig("partner", WINDOW, UPDATED_AT), feed_path=path))
+
+
+# --- stored targets --------------------------------------------------------------------------------------
+
+
+def merged_twice(target: DataFrame, batch: DataFrame, keys: list[str], layout: T.StructType, sort_key: str) -> DataFrame:
+    """Store the target, merge the batch into it twice, read the table back."""
+    spark = target.sparkSession
+    path = work_folder(spark, "stored")
+    for rows in (target, batch, batch):
+        merge_table(spark, path, rows, keys, layout, sort_key)
+    return stored_table(spark, path, layout).drop(PART)
+
+
+@query
+def store_market(s: StandIns) -> DataFrame:
+    return merged_twice(s.tables.leg_distances, finalize_market(s), LEG_KEYS, LEG_LAYOUT, "_id_oid")
+
+
+@query
+def store_refill(s: StandIns) -> DataFrame:
+    return merged_twice(s.frame("refill_distances"), finalize_refill(s), REFILL_KEYS, REFILL_LAYOUT, "createdatl")
+
+
+@query
+def store_route(s: StandIns) -> DataFrame:
+    return merged_twice(s.frame("route_points"), gps_routes(s), POINT_KEYS, POINT_LAYOUT, "_id_oid")
+
+
+@query
+def expire_route(s: StandIns) -> DataFrame:
+    path = work_folder(s.spark, "stored")
+    merge_table(s.spark, path, s.frame("route_points"), POINT_KEYS, POINT_LAYOUT, "_id_oid")
+    expired = expired_routes(s.tables.routes_market, RETENTION_START)
+    for _ in range(2):
+        expire_table(s.spark, path, expired, POINT_LAYOUT)
+    return stored_table(s.spark, path, POINT_LAYOUT).drop(PART)

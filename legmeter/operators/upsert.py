@@ -102,10 +102,17 @@ def merge_table(
 
 
 def expire_table(spark: SparkSession, path: str, expired: DataFrame, layout: T.StructType, sort_key: str = "_id_oid") -> None:
-    """Drop the points of expired routes, rewriting only the folders those ids live in."""
-    staged = materialise(expired.withColumn(PART, partition_of(F.col("_id_oid"))), "expired")
+    """Drop the points of expired routes, rewriting only the folders that hold such points.
+
+    Routes expire for good, so most expired ids are long gone; their id column alone tells which are left.
+    """
+    if not _exists(spark, path):
+        return
+    placed = expired.withColumn(PART, partition_of(F.col("_id_oid")))
+    held = stored_table(spark, path, layout).select("_id_oid", PART).join(placed, ["_id_oid", PART], "left_semi")
+    staged = materialise(held.distinct(), "expired")
     touched = _parts(staged)
-    if not touched or not _exists(spark, path):
+    if not touched:
         return
     current = stored_table(spark, path, layout).filter(F.col(PART).isin(touched))
     kept = current.join(staged, ["_id_oid", PART], "left_anti").select(*current.columns)
