@@ -100,3 +100,4 @@ class JobConfig:
     split: SplitPolicy = field(default_factory=SplitPolicy)
     partner_label: str = "partner"
     partner_period: str = "hourly"
+    zero_offset_is_null: bool = True

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legmeter.config import PREDICTED, RETURN_STEP
+from legmeter.operators.pricing import LEG_POINTS
 
 # The legs of a food or artisan trip.
 TRIP_LEGS = ("store_to_rest", "rest_to_client", "client_to_store")
@@ -46,7 +47,7 @@ def legs_with_return(legs: DataFrame) -> DataFrame:
 
 
 def price_legs(legs: DataFrame, provider) -> DataFrame:
-    return provider.price(legs).withColumn("distance_type", F.lit(provider.label))
+    return provider.prepared(legs, [LEG_POINTS]).price(legs).withColumn("distance_type", F.lit(provider.label))
 
 
 def predict_missing(priced: DataFrame) -> DataFrame:

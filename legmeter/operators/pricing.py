@@ -6,11 +6,13 @@ provider to use when the same rows are priced for several pairs of points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +28,32 @@ def _leg_keys(points: tuple[str, str, str, str]) -> list[Column]:
     return [micro_degrees(F.col(point)).alias(key) for key, point in zip(_KEYS, points)]
 
 
+def _distinct_legs(df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> DataFrame:
+    """The leg keys between all given points of ``df``, each once; legs without a coordinate have no price."""
+    found = F.array(*[F.struct(*_leg_keys(points)) for points in point_sets])
+    return df.select(F.inline(found)).dropna().distinct()
+
+
 @dataclass(frozen=True)
 class TablePrices:
     """Distances from a table with the four leg columns, ``distance`` (m) and ``duration`` (s).
 
-    Coordinates meet as whole micro-degrees. Should a leg occur more than once, its shortest distance
-    and its shortest duration count; that aggregation and the join use the same keys, so they share
-    one shuffle.
+    Coordinates meet as whole micro-degrees. The table may hold all legs ever driven and a run asks for few
+    of them, so ``prepared`` cuts it down to the legs of the run before anything is aggregated. Should a leg
+    occur more than once, its shortest distance and its shortest duration count. The semi join, the
+    aggregation and the join use the same keys, so the table is shuffled once. ``cut_down`` says that the
+    table holds the run's legs only.
     """
 
     prices: DataFrame
     label: str = ROAD
+    cut_down: bool = False
 
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "TablePrices":
-        return self
+        if self.cut_down:
+            return self
+        keyed = self.prices.select("*", *_leg_keys(LEG_POINTS)).join(_distinct_legs(df, point_sets), _KEYS, "left_semi")
+        return TablePrices(keyed.select(*LEG_POINTS, "distance", "duration"), self.label, cut_down=True)
 
     def price(
         self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
@@ -87,7 +101,9 @@ class BatchPrices:
     The function returns ``distance`` and ``duration`` for each leg, null where it found none. Legs
     still null are asked again, up to ``rounds`` attempts. Every distinct leg is asked once and the
     answers are written to the work folder, so that neither a later action nor a lost executor asks
-    again. At most ``parallel`` calls are under way at once.
+    again. The legs are dealt to ``parallel`` tasks, or more if a task would get over ``legs_per_task`` legs; a call
+    that fails repeats its task's share only. ``profile`` may name a task resource of the service, which then limits
+    how many tasks call at once.
     """
 
     function: PriceFunction
@@ -95,17 +111,22 @@ class BatchPrices:
     rounds: int = 3
     parallel: int = 32
     label: str = ROAD
+    legs_per_task: int = 5000
+    profile: ResourceProfile | None = None
 
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> TablePrices:
         """Ask for the legs between all given points of ``df`` and keep the answers."""
-        found = F.array(*[F.struct(*_leg_keys(points)) for points in point_sets])
-        legs = df.select(F.inline(found)).dropna().distinct().repartition(self.parallel, *_KEYS)
-        asked = legs.select(*[(F.col(key) / MICRO).alias(name) for key, name in zip(_KEYS, LEG_POINTS)])
+        legs = materialise(_distinct_legs(df, point_sets), "legs")
+        tasks = max(self.parallel, math.ceil(legs.count() / self.legs_per_task))
+        asked = legs.repartition(tasks, *_KEYS).select(
+            *[(F.col(key) / MICRO).alias(name) for key, name in zip(_KEYS, LEG_POINTS)]
+        )
         priced = asked.mapInPandas(
             _asker(self.function, self.legs_per_call, self.rounds),
             "from_lon double, from_lat double, to_lon double, to_lat double, distance double, duration double",
+            profile=self.profile,
         )
-        return TablePrices(materialise(priced, "prices"), self.label)
+        return TablePrices(materialise(priced, "prices"), self.label, cut_down=True)
 
     def price(
         self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"

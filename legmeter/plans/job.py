@@ -94,7 +94,7 @@ def order_lines(tables: Tables, config: JobConfig) -> dict[str, DataFrame]:
 def refill_legs(refills: DataFrame, provider) -> DataFrame:
     """Refill point to warehouse."""
     points = ("refill_lon", "refill_lat", "warehouse_lon", "warehouse_lat")
-    return provider.price(refills, points).withColumn("distance_type", F.lit(provider.label))
+    return provider.prepared(refills, [points]).price(refills, points).withColumn("distance_type", F.lit(provider.label))
 
 
 def price_lines(lines: dict[str, DataFrame], config: JobConfig, provider) -> dict[str, DataFrame]:
@@ -130,7 +130,7 @@ def run(tables: Tables, config: JobConfig, provider=None, feed_path: str | None
     if config.mode in ("gps", "both"):
         measured = gps.gps_distance_info(tables, config.window, config.warehouses, config.split)
         results["gps_distances"] = finalize_gps(measured, config.updated_at)
-        results["route_points"] = gps.gps_routes(tables, config.window, config.warehouses)
+        results["route_points"] = gps.gps_routes(tables, config.window, config.warehouses, config.zero_offset_is_null)
     if config.mode == "partner":
         feed = read_partner_feed(
             SparkSession.active(),

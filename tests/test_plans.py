@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from legmeter.catalog.queries import WINDOW, stand_ins
 from legmeter.config import Reasons, RunWindow
 from legmeter.functions.timing import in_days
+from legmeter.operators.legs import price_legs
 from legmeter.operators.pricing import TablePrices
 from legmeter.operators.upsert import LEG_KEYS, PART, merge_table, stored_table
 from legmeter.plans import gps, market, missing, trips, water
@@ -179,6 +180,16 @@ def test_price_table_is_shuffled_once(spark, stored):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_price_table_is_cut_down_to_the_legs_before_it_is_aggregated(spark):
+    names = ["from_lon", "from_lat", "to_lon", "to_lat"]
+    rows = [(float(i), 2.0, 3.0, 4.0, 5.0, 6.0) for i in range(9)]
+    prices = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in [*names, "distance", "duration"]))
+    legs = prices.select(*names).limit(3)
+    plan = price_legs(legs, TablePrices(prices))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("min(distance") < plan.index("LeftSemi")
+    assert price_legs(legs, TablePrices(prices)).filter("distance = 5").count() == 3
+
+
 def test_routes_decode_after_the_last_shuffle_without_row_functions(stored):
     plan = plan_of(gps.gps_routes(stored, WINDOW))
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
