@@ -412,6 +412,60 @@ def test_leaks_and_paraphrases_are_found(spark, nothing):
     assert decontaminate.leaks(table, benchmark.limit(0)).count() == 0
 
 
+LEAK_SCHEMA = "doc_id bigint, text string"
+
+
+def drawn(draws, size, words=5000):
+    return [f"w{k}" for k in draws.integers(0, words, size)]
+
+
+def test_an_item_that_a_third_of_all_documents_hold_is_found(spark):
+    draws = np.random.default_rng(5)
+    item = drawn(draws, 30)
+    rows = [(k, " ".join(drawn(draws, 150) + (item if k % 3 == 0 else []) + drawn(draws, 150))) for k in range(120)]
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    found = rows_of(decontaminate.leaks(spark.createDataFrame(rows, LEAK_SCHEMA), benchmark), "doc_id", "item_id", "common")
+    assert by_count(found) == by_count([(k, 7, 1.0) for k in range(0, 120, 3)])
+
+
+def plain_leaks(words, items):
+    """Every (document, item) that some window of the document holds, with the best share: all windows are aligned."""
+    found = {}
+    for d in range(words.documents):
+        start, end = int(words.bounds[d]), int(words.bounds[d + 1])
+        for i, own in enumerate(items):
+            wide = 2 if len(own) <= 24 else 4
+            while wide * 16 < len(own):
+                wide *= 2
+            for first in range(start, end, 16):
+                region = words.hash[max(first - len(own) - 16, start) : min(first + wide * 16 + len(own) + 16, end)]
+                common, answer = decontaminate._checked(own, region)
+                if common >= 0.65 and answer >= 0.5:
+                    found[d, i] = max(found.get((d, i), 0), common)
+    return found
+
+
+def test_leaks_are_those_of_a_check_of_all_windows(spark):
+    draws = np.random.default_rng(7)
+    vocabulary = np.array([f"v{k}" for k in range(400)])
+    chance = 1 / np.arange(1, 401)
+    text = lambda n: draws.choice(vocabulary, n, p=chance / chance.sum()).tolist()
+    items = [text(n) for n in (1, 2, 5, 9, 15, 24, 25, 40, 64, 65, 90, 140)] + [["v0", "v1", "v2"] * 6]
+    rows = []
+    for k in range(120):
+        item = items[k % len(items)]
+        kept = [w for w in item if draws.random() < draws.uniform(0.6, 1)]
+        rows.append(" ".join(text(draws.integers(0, 120)) + kept + text(draws.integers(0, 120))))
+    words = decontaminate.document_runs
+    run = next(words(decontaminate.pa.array([r.encode() for r in rows]), 1 << 24, decontaminate.PLAIN))[1]
+    asked = next(words(decontaminate.pa.array([" ".join(i).encode() for i in items]), table=decontaminate.PLAIN))[1]
+    hashes = [asked.hash[asked.bounds[k] : asked.bounds[k + 1]] for k in range(len(items))]
+    table = spark.createDataFrame(list(enumerate(rows)), LEAK_SCHEMA)
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.common for r in decontaminate.leaks(table, benchmark).collect()}
+    assert found == plain_leaks(run, hashes) and len(found) > 100
+
+
 # --- pipeline and catalogue
 
 
