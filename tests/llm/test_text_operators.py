@@ -428,6 +428,14 @@ def test_an_item_that_a_third_of_all_documents_hold_is_found(spark):
     assert by_count(found) == by_count([(k, 7, 1.0) for k in range(0, 120, 3)])
 
 
+def test_a_leak_in_one_short_document_is_found(spark):
+    item = "which river runs through the old town and how long is it from its spring to the sea"
+    table = spark.createDataFrame([(1, f"we ask: {item}?"), (2, "nothing of the kind")], LEAK_SCHEMA)
+    benchmark = spark.createDataFrame([(3, item)], "item_id bigint, text string")
+    assert rows_of(decontaminate.leaks(table, benchmark), "doc_id", "item_id", "common") == [(1, 3, 1.0)]
+    assert rows_of(decontaminate.drop_leaks(table, benchmark), "doc_id") == [(2,)]
+
+
 def plain_leaks(words, items):
     """Every (document, item) that some window of the document holds, with the best share: all windows are aligned."""
     found = {}
