@@ -436,6 +436,18 @@ def test_a_leak_in_one_short_document_is_found(spark):
     assert rows_of(decontaminate.drop_leaks(table, benchmark), "doc_id") == [(2,)]
 
 
+def test_long_items_and_their_paraphrases_are_found(spark):
+    draws = np.random.default_rng(6)
+    items = {k: drawn(draws, size) for k, size in enumerate((110, 170, 300, 900))}
+    rows = [(-k, " ".join(drawn(draws, 400))) for k in range(1, 40)]
+    for k, item in items.items():
+        changed = [w if i % 10 < 7 else "other" for i, w in enumerate(item)]
+        rows += [(10 + k, " ".join(drawn(draws, 90) + item + drawn(draws, 90))), (20 + k, " ".join(drawn(draws, 90) + changed))]
+    benchmark = spark.createDataFrame([(k, " ".join(item)) for k, item in items.items()], "item_id bigint, text string")
+    found = rows_of(decontaminate.leaks(spark.createDataFrame(rows, LEAK_SCHEMA), benchmark), "doc_id", "item_id")
+    assert sorted(found) == sorted((base + k, k) for base in (10, 20) for k in items)
+
+
 def plain_leaks(words, items):
     """Every (document, item) that some window of the document holds, with the best share: all windows are aligned."""
     found = {}
