@@ -86,6 +86,21 @@ def test_quality_rules_reject_junk_and_keep_clean_documents(spark):
 # --- language model
 
 
+def test_stop_words_are_asked_only_of_texts_that_the_list_covers(spark):
+    draws = np.random.default_rng(3)
+
+    def text(letters, *often):
+        words = ["".join(draws.choice(list(letters), draws.integers(3, 9))) for _ in range(90)]
+        return " ".join(often[k % len(often)] if often and k % 10 == 0 else w for k, w in enumerate(words))
+
+    latin = "bcdfghjklm"
+    clean = [text("абвгдежзиклмн"), text("αβγδεζηθικλμ"), text("ابتثجحخدذرز"), text("कखगघचछजझाि"), text("가나다라마바사아"), text(latin.upper(), "THE", "AND")]
+    table = spark.createDataFrame(list(enumerate([*clean, text(latin), text(latin.upper())])), "doc_id bigint, text string")
+    kept = {r.doc_id for r in quality.judge(table).where("kept").collect()}
+    assert kept == set(range(len(clean))) == {r.doc_id for r in quality.filter_documents(table).collect()}
+
+
+
 def test_language_model_base_and_gain(spark, awkward, nothing):
     for table in both(spark, awkward):
         held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)), F.lit(1)) == 0
