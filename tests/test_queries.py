@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, duck_rows, spark_rows
-from conftest import SF_DIR
+from handmade import SF_DIR
 
 from legmeter.catalog.oracle import oracle_sql
 from legmeter.catalog.queries import QUERIES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import at, event, order
+from handmade import at, event, order
 
 from legmeter.config import Reasons, RunWindow
 from legmeter.functions.timing import run_grid
