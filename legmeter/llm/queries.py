@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legmeter.llm import chat, decontaminate, language, language_model, near_duplicates, packing, quality, substrings, token_counts, token_file
+from legmeter.llm import (
+    chat, decontaminate, exact_dedup, hard_negatives, language, language_model, merkle, near_duplicates, packing, quality, substrings,
+    token_counts, token_file,
+)
 from legmeter.session import materialise, work_folder
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -91,6 +94,26 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        hard_negatives.whole_numbers(F.col("embedding"), 256).alias("vector"),
+    )
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 _ESCAPED = "replace(replace({0}, '\\', '\\\\'), '<|', '<\\|')"
 _ROLE, _TEXT = "coalesce(role, '')", "coalesce(text, '')"
 SQL["op4_chat_formatting"] = f"""
@@ -173,3 +196,93 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as
   sha256(coalesce(kept.body, '')) as kept_sha256
 from texts left join kept using (k)
 """
+# Equal rows are told apart by their number, which decides which of them stays.
+SQL["op11_exact_dedup"] = """
+with texts as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body from documents
+)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+  row_number() over (same order by doc_id desc nulls last) = 1 as kept, sha256(body) as text_sha256
+from texts window same as (partition by body)
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text)
+    return "sha256(" + " || ".join(f"coalesce(cast(strlen({f}) as varchar) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# Checksums by table: the table is the 256 entries of the polynomial, the fold is over the digits of the id.
+_CRC = """
+crc_table as materialized (
+  select list(c order by n) as t from (
+    select n, list_reduce(list_prepend(n, range(8)), lambda c, i: case when c % 2 = 1 then xor(3988292384, c // 2) else c // 2 end) as c
+    from range(256) r(n)
+  )
+)"""
+_CRC_OF_ID = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
+    lambda c, x: xor(t[xor(c % 256, x) + 1], c // 256)))"""
+SQL["op12_merkle_manifest"] = f"""
+with recursive {_CRC.strip()}, leaves as materialized (
+  select row_number() over () as k, doc_id, coalesce('s' || source, 'n') as tree, {_leaf('text')} as leaf,
+    case when doc_id is not null and {_CRC_OF_ID} % {merkle.TAMPERED} = 0
+      then {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as altered
+  from documents, crc_table
+), placed as materialized (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf, k) - 1 as place, count(*) over (partition by tree) as total
+  from leaves
+), inner_nodes(tree, level, place, total, digest) as (
+  select tree, 0, place, total, leaf from placed
+  union all
+  select tree, level + 1, place // 16, (total + 15) // 16, sha256(string_agg(digest, '' order by place))
+  from inner_nodes where total > 1 group by tree, level, place // 16, total
+), subroots as materialized (
+  select tree, digest, row_number() over (order by encode(tree)) - 1 as place, count(*) over () as total from inner_nodes where total = 1
+), upper_nodes(level, place, total, digest) as (
+  select 0, place, total, digest from subroots
+  union all
+  select level + 1, place // 16, (total + 15) // 16, sha256(string_agg(digest, '' order by place))
+  from upper_nodes where total > 1 group by level, place // 16, total
+), top as (select digest as root from upper_nodes where total = 1
+), inner_runs as materialized (
+  select tree, level, place // 16 as run, list(digest order by place) as nodes from inner_nodes where total > 1 group by all
+), upper_runs as materialized (
+  select level, place // 16 as run, list(digest order by place) as nodes from upper_nodes where total > 1 group by all
+), inner_walks(k, tree, level, place, total, folded, siblings) as (
+  select k, tree, 0, place, total, coalesce(altered, leaf), '' from placed
+  union all
+  select w.k, w.tree, w.level + 1, w.place // 16, (w.total + 15) // 16,
+    sha256(array_to_string(r.nodes[:w.place % 16], '') || w.folded || array_to_string(r.nodes[w.place % 16 + 2:], '')),
+    w.siblings || array_to_string(r.nodes[:w.place % 16], '') || array_to_string(r.nodes[w.place % 16 + 2:], '')
+  from inner_walks w join inner_runs r on r.tree = w.tree and r.level = w.level and r.run = w.place // 16 where w.total > 1
+), upper_walks(k, level, place, total, folded, siblings, subroot) as (
+  select w.k, 0, s.place, s.total, w.folded, w.siblings, s.digest from inner_walks w join subroots s on s.tree = w.tree where w.total = 1
+  union all
+  select w.k, w.level + 1, w.place // 16, (w.total + 15) // 16,
+    sha256(array_to_string(r.nodes[:w.place % 16], '') || w.folded || array_to_string(r.nodes[w.place % 16 + 2:], '')),
+    w.siblings || array_to_string(r.nodes[:w.place % 16], '') || array_to_string(r.nodes[w.place % 16 + 2:], ''), w.subroot
+  from upper_walks w join upper_runs r on r.level = w.level and r.run = w.place // 16 where w.total > 1
+)
+select l.doc_id, l.leaf, w.subroot, root, sha256(w.siblings) as proof_sha256, w.folded as folded_root, w.folded = root as verified
+from upper_walks w join leaves l using (k), top where w.total = 1
+"""
+SQL["op13_hard_negatives"] = f"""
+with rows as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as vector
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as materialized (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.vector, b.vector) as bigint) as score
+  from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {hard_negatives.POSITIVES}
+)
+select anchor_id, positive_id, cast(row_number() over best as integer) as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window best as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over best <= {hard_negatives.NEGATIVES}
+"""
