@@ -34,6 +34,8 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # Many small stores would each reserve megabytes of disk.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Bytes of new files in one batch of the stream.
 BATCH_BYTES = 1 << 40
@@ -109,7 +111,8 @@ def update_state(
 ) -> None:
     """Stream all files under ``path`` that the state at ``checkpoint`` has not seen into it."""
     session = spark.newSession()
-    for key, value in STATE.items():
+    inherited = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    for key, value in (STATE | inherited).items():
         session.conf.set(key, value)
     # As a pattern the path may also be a single file.
     pattern = path if any(c in path for c in "*?[{") else f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
