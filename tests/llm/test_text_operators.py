@@ -540,5 +540,5 @@ def test_sql_agrees_on_awkward_rows(spark, awkward, tmp_path, name):
 
 def test_registered_queries():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
