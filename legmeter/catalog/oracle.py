@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from legmeter.catalog.queries import FLEET_DAYS, RETENTION_START, SOME_WAREHOUSES, TRIP_POINTS, UPDATED_AT, WINDOW
+from legmeter.catalog.queries import FLEET_DAYS, ODD_WINDOW, RETENTION_START, SOME_WAREHOUSES, TRIP_POINTS, UPDATED_AT, WINDOW
 from legmeter.operators.legs import TRIP_LEGS
 from legmeter.sources.standins import STEPS as STEPS_OF_POINTS
 from legmeter.sources.standins import VIEWS, render
@@ -188,6 +188,23 @@ from {table} o join warehouse_locations on {place} = warehouse left join {distan
 where {between_dates(time)} and {eligible("courier_oid", "canceldate")} and {kind} and ({gaps})"""
 
 
+def slot_rows(rows: str, time: str, every: str, span: str, back: int, ahead: int = 0) -> str:
+    """Every run's own copy of the rows that it sees."""
+    return f"""
+select run_start, r.* from {rows} r join (
+  select unnest(generate_series({START}, {END} - interval {span}, interval {every})) as run_start) s
+on {time} >= run_start - interval {back} hour and {time} < run_start + interval {span} + interval {ahead} hour"""
+
+
+def slot_sequence(rows: str, drops: str, numbers: str, time: str) -> str:
+    """As one run's sequence, run by run."""
+    order = f"order by {time} nulls last, eff, order_id"
+    return f"""
+select *, lag(to_lon) over drops as prev_lon, lag(to_lat) over drops as prev_lat,
+  cast(row_number() over (partition by run_start, {numbers} {order}) as integer) as order_number
+from {rows} window drops as (partition by run_start, {drops} {order})"""
+
+
 LEG_POINTS = dict(zip(TRIP_LEGS, TRIP_POINTS))
 
 
@@ -227,9 +244,9 @@ from ({trip_priced(orders)}) as p where {a} is not null and {b} is not null and
 
 
 def merged(target: str, batch: str, keys: tuple[str, ...], columns: str) -> str:
-    match = " and ".join(f"t.{key} = b.{key}" for key in keys)
+    names = ", ".join(keys)
     return f"""
-select {columns} from {target} t where not exists (select 1 from {batch} b where {match})
+select {columns} from {target} anti join (select distinct {names} from {batch}) as replaced using ({names})
 union all select {columns} from {batch}"""
 
 
@@ -257,6 +274,8 @@ TRIP_NULLS = {
 } | {"updated_at": "timestamp", "step": "integer"}
 FOOD_KIND = "(deliverytype is null or deliverytype = 1)"
 ARTISAN_KIND = "deliverytype = 1"
+# Interval and length of the runs of a grid.
+MARKET_SLOTS, WATER_SLOTS = ("15 minute", "15 minute"), ("60 minute", "180 minute")
 STORE = "coalesce(courierwarehouse_oid, courierstore_oid)"
 FEED_KM = "case when distance / 1000 > 1000 then round(distance / 1000 / 100000, 4) else distance / 1000 end"
 
@@ -390,6 +409,40 @@ from base_orders join timed_points on o_orderkey % 3001 = shape""",
     "window_points": f"""
 select p.* from all_points p join marketorders o on p._id_oid = o._id_oid
 where {between_dates("coalesce(deliver_date, cancel_date)")}""",
+    "leg_merged": merged("leg_target", "market_final", ("_id_oid", "distance_type"), LEG_ORDER),
+    "asked_legs": """
+  select cast(round(from_lon * 1000000) as bigint) as from_lon, cast(round(from_lat * 1000000) as bigint) as from_lat,
+    cast(round(to_lon * 1000000) as bigint) as to_lon, cast(round(to_lat * 1000000) as bigint) as to_lat,
+    cast(round(to_lon * 1000) as bigint) % 7 <> 0 as answered, eff < timestamp '1998-01-17' as early
+  from market_legs where from_lon is not null and from_lat is not null and to_lon is not null and to_lat is not null""",
+    "market_slot_rows": slot_rows("market_rows", "eff", *MARKET_SLOTS, 2),
+    "market_slot_seq": slot_sequence(
+        "market_slot_rows", "warehouse_id, courier_id", "cast(eff_l as date), warehouse_id, courier_id", "eff_l"
+    ),
+    "market_slot_max": """
+select run_start, delivery_job_oid, max(raw_index) as max_index from market_slot_rows
+where is_batched is true and delivery_job_oid is not null group by all""",
+    "market_slot_legs": f"""
+select q.*, coalesce(m.max_index, 1) as max_index, {from_point("delivery_batch_index = 1")},
+  case when delivery_batch_index = m.max_index then 1 else 0 end as will_return_warehouse
+from market_slot_seq q left join market_slot_max m on q.run_start = m.run_start and q.delivery_job_oid = m.delivery_job_oid
+where eff >= q.run_start and eff < q.run_start + interval {MARKET_SLOTS[1]}""",
+    "water_slot_rows": slot_rows("water_rows", "eff", *WATER_SLOTS, 24),
+    "water_slot_seq": slot_sequence(
+        "water_slot_rows", "courier_fleetvehicle_oid, warehouse_id", "cast(eff_l as date), courier_id",
+        local("delivered", "'Europe/Istanbul'"),
+    ),
+    "slot_events": slot_rows("refill_events", "createdat", *WATER_SLOTS, 0, 2),
+    "slot_refilled": f"""
+select distinct run_start, next_order as order_id from (
+  select *, lag(marketorder_oid ignore nulls) over (partition by run_start, warehouse_id, courier_id
+    order by compare_date_l desc nulls last, createdat desc, log_id desc) as next_order from slot_events) as e
+where data_reason_oid = 'refill' and createdat < run_start + interval {WATER_SLOTS[1]} and next_order is not null""",
+    "water_slot_legs": f"""
+select q.*, case when r.order_id is not null then 1 else 0 end as is_from_warehouse, {from_point("r.order_id is not null")}
+from water_slot_seq q left join slot_refilled r on q.run_start = r.run_start and q.order_id = r.order_id
+where eff >= q.run_start and eff < q.run_start + interval {WATER_SLOTS[1]}""",
+    "food_merged": merged("food_target", "food_final", ("_id_oid", "distance_type"), TRIP_ORDER),
     "expired_ids": f"select _id_oid from routes_market where checkout_date_l < timestamp '{RETENTION_START}' - interval 31 day",
     "kept_points": "select * from route_points where _id_oid not in (select _id_oid from expired_ids)",
     "leg_target": f"select {null_columns('_id_oid, step, distance, distance_type', LEG_NULLS)} from leg_distances",
@@ -408,6 +461,10 @@ from marketorders o join leg_distances d on o._id_oid = d._id_oid
 where checkoutdatel between {START} and {END} and distance_type = 'osrm' and domaintype = 4""",
     "fields": """
 select query, line_number, raw_line, string_split(raw_line, ',') as parts from raw_loads""",
+    "staged_lines": """
+select query, line_number, 1 + row_number() over (partition by query order by line_number) as file_line from raw_loads""",
+    "spoiled_rows": """
+select order_id, cast(order_id as bigint) % 2 as lot, cast(order_id as bigint) % 50 as kind from partner_rows""",
     "field_errors": """
 select query, line_number, cast(null as varchar) as colname, cast(null as varchar) as value, raw_line,
   'wrong number of fields' as err_reason from fields where len(parts) <> 3
@@ -517,6 +574,19 @@ select *, '1998-01-02T00:00:00Z' as start_time, '1998-02-01T00:00:00Z' as end_ti
   where date_l between date '1998-01-02' and date '1998-02-01' and osrm is not null
   union all select order_id, courier_courier_oid, date_l, domaintype, step, osrm, km from water_km) as u""",
     "partner_feed": "select * from feed",
+    "stage_load_errors": """
+select e.query, file_line as line_number, colname, value, raw_line, err_reason
+from field_errors e join staged_lines l on e.query = l.query and e.line_number = l.line_number""",
+    "stage_load_accepted": """
+select f.query, file_line as line_number, cast(parts[1] as bigint) as order_id, cast(parts[2] as integer) as step,
+  cast(parts[3] as double) as distance from fields f join staged_lines l on f.query = l.query and f.line_number = l.line_number
+where len(parts) = 3 and try_cast(parts[2] as integer) is not null and try_cast(parts[3] as double) is not null""",
+    "partner_feed_taken_in": "select * from feed where cast(order_id as bigint) % 50 not in (7, 8)",
+    "partner_feed_rejects": """
+select order_id, case kind when 7 then 'no JSON' else 'a field of another type' end as reason from spoiled_rows where kind in (7, 8)""",
+    "partner_feed_intakes": """
+select cast(lot as integer) as lot, count(*) filter (kind not in (7, 8)) as rows, count(*) filter (kind in (7, 8)) as rejected
+from spoiled_rows group by lot""",
     "check_tables": """
 select 'refill_info' as sheet, count(*) as rows, 'Warehouse Id, Createdatl, Courier Id' as titles from refill_final
 union all select 'food_order_info', count(*), ' Id Oid, Store Lon, Store Lat' from food_final
@@ -550,6 +620,11 @@ select unnest(generate_series(date_trunc('day', min(t))::timestamp, time_bucket(
 select order_id, step, is_return, x1 as from_lon, y1 as from_lat, x2 as to_lon, y2 as to_lat from market_both""",
     "price_legs_table": TABLE_PRICED,
     "price_legs_retry": TABLE_PRICED,
+    "price_legs_stored": TABLE_PRICED,
+    "price_legs_remembered": TABLE_PRICED,
+    "price_legs_unanswered": """
+select from_lon, from_lat, to_lon, to_lat, cast(bool_or(early) as integer) as failures from asked_legs
+group by all having not bool_or(early and answered)""",
     "price_legs_haversine": f"""
 select {PRICED}, round({STRAIGHT}, 3) as distance, round({STRAIGHT} / 8, 3) as duration, 'haversine' as distance_type
 from market_legs""",
@@ -559,6 +634,18 @@ select distinct step, order_id, x1 as from_lon, y1 as from_lat, x2 as to_lon, y2
   round(metres / 8, 6) as duration, 'osrm' as distance_type
 from (select order_id, step, x1, y1, x2, y2, metres from market_priced
   union all select order_id, step, x1, y1, x2, y2, metres from water_priced) as u""",
+    "legs_market_slots": """
+select order_id, eff as deliver_date, cancel_date, eff_l as deliver_date_l, is_batched, delivery_batch_index, max_index,
+  delivery_job_oid, warehouse_id, courier_id, order_number, warehouse_lon, warehouse_lat, prev_lon, prev_lat, from_lon, from_lat,
+  to_lon, to_lat, will_return_warehouse, run_start from market_slot_legs""",
+    "legs_water_slots": """
+select order_id, eff_l as deliver_date_l, is_batched, delivery_batch_index, delivery_job_oid, warehouse_id, courier_id,
+  courier_fleetvehicle_oid, order_number, warehouse_lon, warehouse_lat, to_lon, to_lat, prev_lon, prev_lat,
+  is_from_warehouse, from_lon, from_lat, run_start from water_slot_legs""",
+    "food_order_slots": f"""
+select f.*, run_start from food_info f join (
+  select unnest(generate_series({START}, {END} - interval {MARKET_SLOTS[1]}, interval {MARKET_SLOTS[0]})) as run_start) s
+on deliver_date >= run_start and deliver_date < run_start + interval {MARKET_SLOTS[1]}""",
     "legs_water": """
 select order_id, eff_l as deliver_date_l, is_batched, delivery_batch_index, delivery_job_oid, warehouse_id, courier_id,
   courier_fleetvehicle_oid, order_number, warehouse_lon, warehouse_lat, to_lon, to_lat, prev_lon, prev_lat,
@@ -641,11 +728,57 @@ union all select 'food', count(*) from food_info union all select 'artisan', cou
     "run_partner": stacked(
         leg_distances=PARTNER_LEGS, food_distances=partner_trips(2), artisan_distances=partner_trips(6)
     ),
+    "store_market_changes": f"""
+select *, 'removed' as change from (select {LEG_ORDER} from leg_target except all select * from leg_merged) as gone
+union all select *, 'added' as change from (select * from leg_merged except all select {LEG_ORDER} from leg_target) as come""",
     "store_market": merged("leg_target", "market_final", ("_id_oid", "distance_type"), LEG_ORDER),
     "store_refill": merged("refill_target", "refill_final", ("courier_id", "createdatl"), REFILL_ORDER),
     "store_route": merged("route_points", "window_points", ("_id_oid",), "_id_oid, time, lon, lat"),
     "expire_route": "select * from kept_points",
+    "expire_route_count": "select count(*) as remaining from kept_points",
 }
+ODD = f"timestamp '{ODD_WINDOW.start}'", f"timestamp '{ODD_WINDOW.end}'"
+
+
+def kept_sums(line: str, distances: str, orders: str, warehouse: str, time: str, kinds: dict[str, str], counts: str) -> str:
+    """Sums by warehouse, day and kind, worked out from the stored rows."""
+    return " union all ".join(
+        f"""
+select '{line}' as line, {warehouse} as warehouse_id, cast({time} as date) as day, {kind} as kind,
+  cast(sum(cast(round({value} * 1000000) as bigint)) as bigint) as total, count({value}) as count
+from {distances} d join {orders} o on d._id_oid = o._id_oid where {counts} and {value} is not null and {warehouse} is not null
+group by all"""
+        for value, kind in kinds.items()
+    )
+
+
+_TIME, _TRIP_TIME = "coalesce(deliver_date, cancel_date)", "coalesce(deliverdate, canceldate)"
+_ZONED = "courierwarehouse_oid in (select warehouse from warehouse_locations)"
+_COUNTS = {domains: f"domaintype in ({domains}) and {eligible('courier_courier_oid', 'cancel_date')}" for domains in ("1, 3", "4")}
+ANSWERS["average_state"] = " union all ".join(
+    [kept_sums(line, "leg_merged", "marketorders", "warehouse_warehouse_oid", _TIME, {"distance": "distance_type"}, _COUNTS[domains])
+     for line, domains in (("market", "1, 3"), ("water", "4"))]
+    + [kept_sums(line, table, f"{line}_orders", "courierwarehouse_oid", _TRIP_TIME, {leg: f"'{leg}'" for leg in TRIP_LEGS},
+                 f"{kind} and {eligible('courier_oid', 'canceldate')} and {_ZONED}")
+       for line, table, kind in (("food", "food_merged", FOOD_KIND), ("artisan", "artisan_target", ARTISAN_KIND))]
+)
+ANSWERS["avg_distance_kept"] = " union all ".join(
+    f"""
+select '{line}' as line, warehouse_warehouse_oid as warehouse_id, round(avg(distance), 6) as avg_distance
+from leg_merged d join marketorders o on d._id_oid = o._id_oid
+where {_COUNTS[domains]} and {_TIME} >= {ODD[0]} - interval {back} hour and {_TIME} < {ODD[1]} and {extra} and distance is not null
+  and warehouse_warehouse_oid is not null group by all"""
+    for line, domains, back, extra in (("market", "1, 3", 0, "true"), ("water", "4", 24, "distance_type = 'osrm'"))
+)
+ANSWERS["avg_legs_kept"] = f"""
+select courierwarehouse_oid as warehouse_id, {", ".join(f"round(avg({leg}), 6) as {leg}_avg" for leg in TRIP_LEGS)}
+from food_merged d join food_orders o on d._id_oid = o._id_oid
+where {FOOD_KIND} and {eligible('courier_oid', 'canceldate')} and {_ZONED}
+  and {_TRIP_TIME} >= {ODD[0]} and {_TRIP_TIME} < {ODD[1]}
+group by 1 having count({TRIP_LEGS[0]}) + count({TRIP_LEGS[1]}) + count({TRIP_LEGS[2]}) > 0"""
+ANSWERS["market_missing_stored"] = ANSWERS["market_missing"]
+# Steps that several others read and that are long to work out.
+MATERIALISED = ("timed_points", "all_points", "window_points")
 
 
 def _needs(text: str) -> list[str]:
@@ -669,7 +802,8 @@ def compose(text: str) -> str:
         visit(name)
     if not order:
         return text.strip()
-    steps = ",\n".join(f"{name} as (\n{STEPS[name].strip()}\n)" for name in order)
+    kind = {name: " materialized" for name in MATERIALISED}
+    steps = ",\n".join(f"{name} as{kind.get(name, '')} (\n{STEPS[name].strip()}\n)" for name in order)
     return f"with {steps}\n{text.strip()}"
 
 

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import timedelta
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, ROAD, JobConfig, Reasons, RunWindow
+from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, ROAD, JobConfig, Reasons, RunWindow, as_datetime
 from legmeter.functions.routes import route_offsets
 from legmeter.functions.text import is_object_id
 from legmeter.functions.timing import day_start, effective_date, run_grid, to_home_zone, within
+from legmeter.operators import snapshots
 from legmeter.operators.legs import (
     TRIP_LEGS,
     legs_with_return,
@@ -26,27 +27,25 @@ from legmeter.operators.legs import (
     with_step,
 )
 from legmeter.operators.orders import batch_max, in_warehouses, is_eligible
-from legmeter.operators.pricing import LEG_POINTS, BatchPrices, GreatCircle, TablePrices
+from legmeter.operators.price_store import RememberedPrices, StoredPrices, store_prices
+from legmeter.operators.pricing import LEG_POINTS, BatchPrices, GreatCircle, TablePrices, distinct_legs
 from legmeter.operators.routes import latest_routes, route_to_points
 from legmeter.operators.upsert import (
     LEG_KEYS,
-    PART,
     POINT_KEYS,
     REFILL_KEYS,
     TRIP_KEYS,
-    expire_table,
     expired_routes,
-    merge_table,
     remaining,
     retain,
-    stored_table,
     upsert,
 )
-from legmeter.plans import export, finalize, gps, job, market, missing, trips, water
-from legmeter.session import work_folder
-from legmeter.sources import landing
+from legmeter.plans import averages, export, finalize, gps, job, market, missing, slots, trips, water
+from legmeter.plans.slots import SlotGrid
+from legmeter.session import materialise, work_folder
+from legmeter.sources import feed, landing
 from legmeter.sources.standins import StandIns
-from legmeter.sources.tables import LEG_LAYOUT, POINT_LAYOUT, REFILL_LAYOUT, TRIP_LAYOUT, conform
+from legmeter.sources.tables import LEG_LAYOUT, POINT_LAYOUT, REFILL_LAYOUT, TRIP_LAYOUT, Tables, conform
 from legmeter.sources.templates import run_sql
 
 # The stand-in month starts on 1 January; its first day is what the look-backs read.
@@ -56,10 +55,14 @@ TRIP_POINTS = (
     ("restaurant_lon", "restaurant_lat", "to_lon", "to_lat"),
     ("to_lon", "to_lat", "warehouse_lon", "warehouse_lat"),
 )
+ODD_WINDOW = RunWindow("1998-01-05 06:30:00", "1998-01-25 18:15:00")
+FIRST_HALF = "deliver_date < timestamp_ntz'1998-01-17'"
 UPDATED_AT = "1998-02-01 00:00:00"
 RETENTION_START = "1998-02-20 00:00:00"
 SOME_WAREHOUSES = ("W1", "W3", "W8")
 REASONS = Reasons()
+# Rows of a slice of a stored table here; small, so that the test tables have some.
+SLICE_ROWS = 20_000
 FLEET_DAYS = ("1993-01-01", "1998-06-30")
 STAGE_LAYOUT = T.StructType(
     [
@@ -107,6 +110,12 @@ def table_prices(legs: DataFrame, *point_sets: tuple[str, str, str, str]) -> Tab
     return TablePrices(known.withColumn("distance", metres).withColumn("duration", metres / 8))
 
 
+def on_roads(legs: DataFrame, *point_sets: tuple[str, str, str, str]) -> tuple[DataFrame, TablePrices]:
+    """The legs, written once, and the stand-in road table made of them."""
+    legs = materialise(legs, "legs")
+    return legs, replace(table_prices(legs, *point_sets), cut_down=True)
+
+
 def ask_prices(legs: pd.DataFrame, attempt: int) -> pd.DataFrame:
     """Stand-in for a road service: some legs answer only when asked again, some never."""
     metres = (
@@ -118,23 +127,20 @@ def ask_prices(legs: pd.DataFrame, attempt: int) -> pd.DataFrame:
 
 
 def priced_market(s: StandIns) -> DataFrame:
-    legs = legs_with_return(market.legs_market(s.tables, WINDOW))
-    return price_legs(legs, table_prices(legs))
+    return price_legs(*on_roads(legs_with_return(market.legs_market(s.tables, WINDOW))))
 
 
 def priced_water(s: StandIns) -> DataFrame:
-    legs = with_step(water.legs_water(s.tables, WINDOW, REASONS))
-    return price_legs(legs, table_prices(legs))
+    return price_legs(*on_roads(with_step(water.legs_water(s.tables, WINDOW, REASONS))))
 
 
 def priced_refill(s: StandIns) -> DataFrame:
-    trips_back = water.refill_info(s.tables, WINDOW, REASONS)
     points = ("refill_lon", "refill_lat", "warehouse_lon", "warehouse_lat")
-    return job.refill_legs(trips_back, table_prices(trips_back, points))
+    return job.refill_legs(*on_roads(water.refill_info(s.tables, WINDOW, REASONS), points))
 
 
 def priced_trips(orders: DataFrame) -> DataFrame:
-    return trip_legs(orders, table_prices(orders, *TRIP_POINTS))
+    return trip_legs(*on_roads(orders, *TRIP_POINTS))
 
 
 # --- scans, sources, sinks ---------------------------------------------------------------------
@@ -360,10 +366,41 @@ PRICED_COLUMNS = ["order_id", "from_lon", "from_lat", "to_lon", "to_lat", "dista
 
 @query
 def price_legs_table(s: StandIns) -> DataFrame:
-    legs = market.legs_market(s.tables, WINDOW)
+    legs = materialise(market.legs_market(s.tables, WINDOW), "legs")
     return rounded(price_legs(legs, table_prices(legs)).select(*PRICED_COLUMNS), "distance", "duration")
 
 
+@query
+def price_legs_stored(s: StandIns) -> DataFrame:
+    """Prices from a stored table, of which only the places of the legs are opened."""
+    path = work_folder(s.spark, "prices")
+    legs = materialise(market.legs_market(s.tables, WINDOW), "legs")
+    store_prices(table_prices(legs).prices, path, "1998-01-01", SLICE_ROWS)
+    return rounded(price_legs(legs, StoredPrices(path)).select(*PRICED_COLUMNS), "distance", "duration")
+
+
+def remembered(path: str, now: str) -> RememberedPrices:
+    return RememberedPrices(ask_prices, path, now, slice_rows=SLICE_ROWS)
+
+
+@query
+def price_legs_remembered(s: StandIns) -> DataFrame:
+    """Prices of a service whose answers are kept: the second run asks for the legs of the second half only."""
+    path = work_folder(s.spark, "answers")
+    legs = materialise(market.legs_market(s.tables, WINDOW), "legs")
+    price_legs(legs.where(FIRST_HALF), remembered(path, "1998-01-17"))
+    return rounded(price_legs(legs, remembered(path, "1998-02-01")).select(*PRICED_COLUMNS), "distance", "duration")
+
+
+@query
+def price_legs_unanswered(s: StandIns) -> DataFrame:
+    """What the second run asks for: legs that are new, and those that have failed."""
+    path = work_folder(s.spark, "answers")
+    legs = materialise(market.legs_market(s.tables, WINDOW), "legs")
+    price_legs(legs.where(FIRST_HALF), remembered(path, "1998-01-17"))
+    return remembered(path, "1998-02-01").unanswered(distinct_legs(legs, [LEG_POINTS])).toDF(*LEG_POINTS, "failures")
+
+
 @query
 def price_legs_haversine(s: StandIns) -> DataFrame:
     legs = market.legs_market(s.tables, WINDOW)
@@ -524,15 +561,13 @@ def artisan_missing(s: StandIns) -> DataFrame:
 
 @query
 def predict_missing_market(s: StandIns) -> DataFrame:
-    legs = legs_with_return(missing.market_missing(s.tables, WINDOW))
-    priced = predict_missing(price_legs(legs, table_prices(legs)))
+    priced = predict_missing(price_legs(*on_roads(legs_with_return(missing.market_missing(s.tables, WINDOW)))))
     return rounded(priced.select("order_id", "step", "distance", "duration", "distance_type"), "distance", "duration")
 
 
 @query
 def predict_missing_water(s: StandIns) -> DataFrame:
-    legs = with_step(missing.water_missing(s.tables, WINDOW, REASONS))
-    priced = predict_missing(price_legs(legs, table_prices(legs)))
+    priced = predict_missing(price_legs(*on_roads(with_step(missing.water_missing(s.tables, WINDOW, REASONS)))))
     return rounded(priced.select("order_id", "step", "distance", "duration", "distance_type"), "distance", "duration")
 
 
@@ -597,6 +632,91 @@ def route_dedup(s: StandIns) -> DataFrame:
     return latest_routes(routes.unionByName(other))
 
 
+@query
+def stage_load_errors(s: StandIns) -> DataFrame:
+    """Rejected fields of staged files, by file and line. Every load is a file with a header."""
+    return staged_loads(s)[1].select(load_of("file"), "line_number", "colname", "value", "raw_line", "err_reason")
+
+
+@query
+def stage_load_accepted(s: StandIns) -> DataFrame:
+    return staged_loads(s)[0].select(load_of("file"), "line_number", "order_id", "step", "distance")
+
+
+def load_of(column: str) -> Column:
+    return F.regexp_extract(column, "load=([0-9]+)", 1).cast("long").alias("query")
+
+
+def staged_loads(s: StandIns) -> tuple[DataFrame, DataFrame]:
+    path = work_folder(s.spark, "stage")
+    lines = s.frame("raw_loads").select("query", "line_number", "raw_line")
+    headers = lines.select("query", F.lit(-1).alias("line_number"), F.lit(",".join(STAGE_LAYOUT.names)).alias("raw_line")).distinct()
+    whole = lines.unionByName(headers).repartition("query").withColumn("load", F.col("query"))
+    whole.sortWithinPartitions("load", "line_number").select("load", "raw_line").write.partitionBy("load").text(path)
+    return landing.read_stage_checked(s.spark, path, STAGE_LAYOUT)
+
+
+@cache
+def taken_in(s: StandIns) -> tuple[str, list[feed.Intake]]:
+    """The partner's rows, landed in two lots of which every 50th row is cut short or has a text for a distance."""
+    folder, store = work_folder(s.spark, "landing"), work_folder(s.spark, "feed")
+    rows = s.frame("partner_rows")
+    line = F.to_json(F.struct(*rows.columns))
+    kind = F.col("order_id").cast("long") % 50
+    spoiled = F.when(kind == 7, F.expr("left(line, length(line) - 5)")).when(kind == 8, F.regexp_replace("line", '"distance":[^,]+', '"distance":"far"')).otherwise(F.col("line"))
+    lots = rows.withColumn("line", line).select(spoiled.alias("value"), (F.col("order_id").cast("long") % 2).alias("lot"))
+    intakes = []
+    for lot in (0, 1):
+        lots.where(F.col("lot") == lot).select("value").write.mode("append").text(folder)
+        intakes.append(feed.take_in(s.spark, folder, store, UPDATED_AT))
+    return store, intakes
+
+
+@query
+def partner_feed_taken_in(s: StandIns) -> DataFrame:
+    return feed.read_feed(s.spark, taken_in(s)[0], WINDOW, UPDATED_AT)
+
+
+@query
+def partner_feed_rejects(s: StandIns) -> DataFrame:
+    rejects = snapshots.read(s.spark, f"{taken_in(s)[0]}/rejects", feed.REJECT_LAYOUT)
+    return rejects.select(F.regexp_extract("raw", '"order_id":"([0-9]+)"', 1).alias("order_id"), "reason")
+
+
+@query
+def partner_feed_intakes(s: StandIns) -> DataFrame:
+    """How many rows each of two intakes took in and rejected."""
+    intakes = taken_in(s)[1]
+    return s.spark.createDataFrame([(n, i.rows, i.rejected) for n, i in enumerate(intakes)], "lot int, rows bigint, rejected bigint")
+
+
+# --- many runs in one pass ----------------------------------------------------------------------------------
+
+
+def slot_grid(every: timedelta, length: timedelta) -> SlotGrid:
+    return SlotGrid(WINDOW.start, as_datetime(WINDOW.end) - length, every, length)
+
+
+# Every quarter of an hour of the month, and three hours from every hour on.
+QUARTERS = slot_grid(timedelta(minutes=15), timedelta(minutes=15))
+HOURS = slot_grid(timedelta(hours=1), timedelta(hours=3))
+
+
+@query
+def legs_market_slots(s: StandIns) -> DataFrame:
+    return slots.legs_market_slots(s.tables, QUARTERS)
+
+
+@query
+def legs_water_slots(s: StandIns) -> DataFrame:
+    return slots.legs_water_slots(s.tables, HOURS, REASONS)
+
+
+@query
+def food_order_slots(s: StandIns) -> DataFrame:
+    return slots.order_lines_slots(s.tables, QUARTERS, REASONS, ["food"])["food"]
+
+
 # --- partner, export, counters ---------------------------------------------------------------------------
 
 
@@ -636,6 +756,7 @@ class FormulaPrices:
     """The stand-in road table as a plain expression; about a seventh of all legs has no price."""
 
     label: str = ROAD
+    looks_first: bool = False
 
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> FormulaPrices:
         return self
@@ -698,8 +819,8 @@ def merged_twice(target: DataFrame, batch: DataFrame, keys: list[str], layout: T
     spark = target.sparkSession
     path = work_folder(spark, "stored")
     for rows in (target, batch, batch):
-        merge_table(spark, path, rows, keys, layout, sort_key)
-    return stored_table(spark, path, layout).drop(PART)
+        snapshots.merge(spark, path, rows, keys, layout, sort_key, SLICE_ROWS)
+    return snapshots.read(spark, path, layout)
 
 
 @query
@@ -717,11 +838,76 @@ def store_route(s: StandIns) -> DataFrame:
     return merged_twice(s.frame("route_points"), gps_routes(s), POINT_KEYS, POINT_LAYOUT, "_id_oid")
 
 
-@query
-def expire_route(s: StandIns) -> DataFrame:
+@cache
+def expired_points(s: StandIns) -> str:
     path = work_folder(s.spark, "stored")
-    merge_table(s.spark, path, s.frame("route_points"), POINT_KEYS, POINT_LAYOUT, "_id_oid")
+    snapshots.merge(s.spark, path, s.frame("route_points"), POINT_KEYS, POINT_LAYOUT, "_id_oid", SLICE_ROWS)
     expired = expired_routes(s.tables.routes_market, RETENTION_START)
     for _ in range(2):
-        expire_table(s.spark, path, expired, POINT_LAYOUT)
-    return stored_table(s.spark, path, POINT_LAYOUT).drop(PART)
+        snapshots.expire(s.spark, path, expired, POINT_LAYOUT, slice_rows=SLICE_ROWS)
+    return path
+
+
+@query
+def expire_route(s: StandIns) -> DataFrame:
+    return snapshots.read(s.spark, expired_points(s), POINT_LAYOUT)
+
+
+@query
+def expire_route_count(s: StandIns) -> DataFrame:
+    """Points left, from the counts that the table keeps for its slices."""
+    left = snapshots.snapshot(s.spark, expired_points(s)).rows
+    return s.spark.createDataFrame([(left,)], "remaining bigint")
+
+
+@query
+def store_market_changes(s: StandIns) -> DataFrame:
+    """What a merge changed: rows that only the version before it has, and rows that only the newest one has."""
+    path = work_folder(s.spark, "stored")
+    for rows in (s.tables.leg_distances, finalize_market(s)):
+        snapshots.merge(s.spark, path, rows, LEG_KEYS, LEG_LAYOUT, "_id_oid", SLICE_ROWS)
+    before, after = (snapshots.read(s.spark, path, LEG_LAYOUT, version) for version in (1, 2))
+    gone = before.exceptAll(after).withColumn("change", F.lit("removed"))
+    return gone.unionByName(after.exceptAll(before).withColumn("change", F.lit("added")))
+
+
+@cache
+def stored_with_averages(s: StandIns) -> tuple[str, Tables]:
+    """Result tables stored twice, the second time with new distances, with the averages kept along."""
+    root = work_folder(s.spark, "results")
+    firsts = {"leg_distances": s.tables.leg_distances, "food_distances": s.tables.food_distances, "artisan_distances": s.tables.artisan_distances}
+    for results in (firsts, {"leg_distances": finalize_market(s), "food_distances": finalize_food(s)}):
+        job.store(s.spark, results, root, JobConfig("osrm", WINDOW, UPDATED_AT), s.tables)
+    near = lambda name, ids, key: snapshots.read_near(s.spark, f"{root}/{name}", job.READ_AGAIN[name], ids, key)
+    return root, Tables(lambda name: getattr(s.tables, name), near)
+
+
+@query
+def average_state(s: StandIns) -> DataFrame:
+    """The kept sums after rows have been replaced."""
+    return averages.read_state(s.spark, stored_with_averages(s)[0])
+
+
+@query
+def avg_distance_kept(s: StandIns) -> DataFrame:
+    """Averages from the kept sums over a window that starts and ends within a day."""
+    root, tables = stored_with_averages(s)
+    lines = ("market", "water")
+    found = [averages.averages(s.spark, tables, root, line, ODD_WINDOW).withColumn("line", F.lit(line)) for line in lines]
+    return rounded(reduce(DataFrame.unionByName, found), "avg_distance")
+
+
+@query
+def avg_legs_kept(s: StandIns) -> DataFrame:
+    root, tables = stored_with_averages(s)
+    return rounded(averages.averages(s.spark, tables, root, "food", ODD_WINDOW), *(f"{leg}_avg" for leg in TRIP_LEGS))
+
+
+@query
+def market_missing_stored(s: StandIns) -> DataFrame:
+    """Missing orders against a stored result table, of which only the slices near the window's ids are opened."""
+    path = work_folder(s.spark, "stored")
+    snapshots.merge(s.spark, path, s.tables.leg_distances, LEG_KEYS, LEG_LAYOUT, "_id_oid", SLICE_ROWS)
+    near = lambda name, ids, key: snapshots.read_near(s.spark, path, LEG_LAYOUT, ids, key)
+    stored = Tables(lambda name: getattr(s.tables, name), near)
+    return rounded(missing.market_missing(stored, WINDOW), "avg_distance")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legmeter.config import PREDICTED, RETURN_STEP
-from legmeter.operators.pricing import LEG_POINTS
+from legmeter.operators.pricing import LEG_POINTS, settled
 
 # The legs of a food or artisan trip.
 TRIP_LEGS = ("store_to_rest", "rest_to_client", "client_to_store")
@@ -47,6 +47,7 @@ def legs_with_return(legs: DataFrame) -> DataFrame:
 
 
 def price_legs(legs: DataFrame, provider) -> DataFrame:
+    legs = settled(legs, provider)
     return provider.prepared(legs, [LEG_POINTS]).price(legs).withColumn("distance_type", F.lit(provider.label))
 
 
@@ -69,7 +70,7 @@ def trip_legs(orders: DataFrame, provider) -> DataFrame:
     Three lookups in a row: each moves the orders once at most, and a table's side of the shuffle is
     reused. Exploding into legs and folding back would move three times the rows twice.
     """
-    priced = orders
+    priced = orders = settled(orders, provider)
     prices = provider.prepared(orders, list(_TRIP_POINTS.values()))
     for leg, points in _TRIP_POINTS.items():
         priced = prices.price(priced, points, leg, f"{leg}_duration")

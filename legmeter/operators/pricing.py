@@ -1,14 +1,16 @@
 """Prices for legs: a distance table, a user function called in batches, or straight lines.
 
 A provider has ``label`` (what its distances are called), ``price``, and ``prepared``, which gives the
-provider to use when the same rows are priced for several pairs of points.
+provider to use when the same rows are priced for several pairs of points. ``looks_first`` says that ``prepared``
+reads the legs; ``settled`` then writes them once, so that they are not worked out again for the pricing.
+``price_store`` has providers that keep prices between runs.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -21,16 +23,16 @@ from legmeter.functions.geo import MICRO, great_circle_m, micro_degrees
 from legmeter.session import materialise
 
 LEG_POINTS = ("from_lon", "from_lat", "to_lon", "to_lat")
-_KEYS = ["_k_from_lon", "_k_from_lat", "_k_to_lon", "_k_to_lat"]
+KEYS = ("_k_from_lon", "_k_from_lat", "_k_to_lon", "_k_to_lat")
 
 
-def _leg_keys(points: tuple[str, str, str, str]) -> list[Column]:
-    return [micro_degrees(F.col(point)).alias(key) for key, point in zip(_KEYS, points)]
+def leg_keys(points: tuple[str, str, str, str]) -> list[Column]:
+    return [micro_degrees(F.col(point)).alias(key) for key, point in zip(KEYS, points)]
 
 
-def _distinct_legs(df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> DataFrame:
+def distinct_legs(df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> DataFrame:
     """The leg keys between all given points of ``df``, each once; legs without a coordinate have no price."""
-    found = F.array(*[F.struct(*_leg_keys(points)) for points in point_sets])
+    found = F.array(*[F.struct(*leg_keys(points)) for points in point_sets])
     return df.select(F.inline(found)).dropna().distinct()
 
 
@@ -49,10 +51,14 @@ class TablePrices:
     label: str = ROAD
     cut_down: bool = False
 
+    @property
+    def looks_first(self) -> bool:
+        return not self.cut_down
+
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "TablePrices":
         if self.cut_down:
             return self
-        keyed = self.prices.select("*", *_leg_keys(LEG_POINTS)).join(_distinct_legs(df, point_sets), _KEYS, "left_semi")
+        keyed = self.prices.select("*", *leg_keys(LEG_POINTS)).join(distinct_legs(df, point_sets), list(KEYS), "left_semi")
         return TablePrices(keyed.select(*LEG_POINTS, "distance", "duration"), self.label, cut_down=True)
 
     def price(
@@ -60,15 +66,32 @@ class TablePrices:
     ) -> DataFrame:
         side = (
             self.prices.filter(F.col("distance").isNotNull())
-            .select(*_leg_keys(LEG_POINTS), "distance", "duration")
-            .groupBy(*_KEYS)
+            .select(*leg_keys(LEG_POINTS), "distance", "duration")
+            .groupBy(*KEYS)
             .agg(F.min("distance").alias("_distance"), F.min("duration").alias("_duration"))
         )
+        return KeyedPrices(side, self.label).price(df, points, distance, duration)
+
+
+@dataclass(frozen=True)
+class KeyedPrices:
+    """Distances from ``side``: the keys of a leg, each leg once, ``_distance`` and ``_duration``."""
+
+    side: DataFrame
+    label: str = ROAD
+    looks_first: bool = field(default=False, init=False)
+
+    def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "KeyedPrices":
+        return self
+
+    def price(
+        self, df: DataFrame, points=LEG_POINTS, distance: str = "distance", duration: str = "duration"
+    ) -> DataFrame:
         return (
-            df.select("*", *_leg_keys(points))
-            .join(side, _KEYS, "left")
+            df.select("*", *leg_keys(points))
+            .join(self.side, list(KEYS), "left")
             .withColumns({distance: F.col("_distance"), duration: F.col("_duration")})
-            .drop("_distance", "_duration", *_KEYS)
+            .drop("_distance", "_duration", *KEYS)
         )
 
 
@@ -78,6 +101,7 @@ class GreatCircle:
 
     metres_per_second: float | None = None
     label: str = "haversine"
+    looks_first: bool = field(default=False, init=False)
 
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> "GreatCircle":
         return self
@@ -113,19 +137,13 @@ class BatchPrices:
     label: str = ROAD
     legs_per_task: int = 5000
     profile: ResourceProfile | None = None
+    looks_first: bool = field(default=True, init=False)
 
     def prepared(self, df: DataFrame, point_sets: list[tuple[str, str, str, str]]) -> TablePrices:
         """Ask for the legs between all given points of ``df`` and keep the answers."""
-        legs = materialise(_distinct_legs(df, point_sets), "legs")
+        legs = materialise(distinct_legs(df, point_sets), "legs")
         tasks = max(self.parallel, math.ceil(legs.count() / self.legs_per_task))
-        asked = legs.repartition(tasks, *_KEYS).select(
-            *[(F.col(key) / MICRO).alias(name) for key, name in zip(_KEYS, LEG_POINTS)]
-        )
-        priced = asked.mapInPandas(
-            _asker(self.function, self.legs_per_call, self.rounds),
-            "from_lon double, from_lat double, to_lon double, to_lat double, distance double, duration double",
-            profile=self.profile,
-        )
+        priced = ask_legs(legs, self.function, self.legs_per_call, self.rounds, tasks, self.profile)
         return TablePrices(materialise(priced, "prices"), self.label, cut_down=True)
 
     def price(
@@ -134,6 +152,23 @@ class BatchPrices:
         return self.prepared(df, [points]).price(df, points, distance, duration)
 
 
+def ask_legs(
+    legs: DataFrame, function: PriceFunction, legs_per_call: int, rounds: int, tasks: int, profile: ResourceProfile | None = None
+) -> DataFrame:
+    """The answers of ``function`` for the leg keys ``legs``, in degrees, asked by ``tasks`` tasks."""
+    asked = legs.repartition(tasks, *KEYS).select(*[(F.col(key) / MICRO).alias(name) for key, name in zip(KEYS, LEG_POINTS)])
+    return asked.mapInPandas(
+        _asker(function, legs_per_call, rounds),
+        "from_lon double, from_lat double, to_lon double, to_lat double, distance double, duration double",
+        profile=profile,
+    )
+
+
+def settled(df: DataFrame, provider) -> DataFrame:
+    """``df``, written once if the provider looks at it before it prices it."""
+    return materialise(df, "legs") if provider.looks_first else df
+
+
 def _asker(function: PriceFunction, size: int, rounds: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The task side: full calls of ``size`` legs; each further round asks only for what is missing."""
 

@@ -17,7 +17,7 @@ def latest_routes(routes: DataFrame) -> DataFrame:
 
 def damaged_routes(routes: DataFrame) -> DataFrame:
     """``damaged``: how many routes have a text that cannot be decoded. Such routes give no points."""
-    points = routes.select("encoded_latlons", route_points("encoded_latlons").alias("_points"))
+    points = routes.select("encoded_latlons", route_points(F.col("encoded_latlons")).alias("_points"))
     bad = F.col("encoded_latlons").isNotNull() & F.col("_points").isNull()
     return points.agg(F.count_if(bad).alias("damaged"))
 
@@ -31,7 +31,7 @@ def route_to_points(routes: DataFrame, zero_offset_is_null: bool = True) -> Data
     decoded = routes.select(
         "_id_oid",
         "start_time",
-        route_points("encoded_latlons").alias("_points"),
+        route_points(F.col("encoded_latlons")).alias("_points"),
         route_offsets(F.coalesce("encoded_time", F.lit(""))).alias("_offsets"),
     )
 

@@ -1,17 +1,13 @@
-"""Keyed replacement of rows, retention, and the stored form of result tables."""
+"""Keyed replacement of rows, and retention. ``snapshots`` stores result tables this way."""
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from legmeter.config import RETENTION_DAYS, as_datetime, ntz
-from legmeter.functions.text import is_object_id
-from legmeter.session import materialise
-from legmeter.sources.tables import conform
 
 # Keys by which each result table replaces rows.
 LEG_KEYS = ["_id_oid", "distance_type"]
@@ -19,9 +15,6 @@ TRIP_KEYS = ["_id_oid", "distance_type"]
 REFILL_KEYS = ["courier_id", "createdatl"]
 POINT_KEYS = ["_id_oid"]
 
-PART = "part"
-HASH_PARTS = 64
-
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` without the rows whose key occurs in ``batch``, plus all of ``batch``.
@@ -47,111 +40,3 @@ def retain(points: DataFrame, expired: DataFrame) -> DataFrame:
 
 def remaining(points: DataFrame) -> DataFrame:
     return points.agg(F.count(F.lit(1)).alias("remaining"))
-
-
-def partition_of(key: Column) -> Column:
-    """The folder a key lives in: a pure function of the key, so a key never moves.
-
-    An object id starts with its creation time in hex, so ids fall into one folder per creation day
-    and a run touches the few folders of its days. Timestamps go by day, other keys by hash.
-    """
-    created = F.conv(F.substring(key.cast("string"), 1, 8), 16, 10).cast("long")
-    by_day = F.concat(F.lit("d"), F.date_add(F.lit("1970-01-01"), F.floor(created / 86400).cast("int")).cast("string"))
-    by_hash = F.concat(F.lit("h"), F.pmod(F.xxhash64(key), F.lit(HASH_PARTS)).cast("string"))
-    return F.when(is_object_id(key.cast("string")), by_day).otherwise(by_hash)
-
-
-def partition_of_time(time: Column) -> Column:
-    return F.concat(F.lit("d"), F.coalesce(F.to_date(time).cast("string"), F.lit("none")))
-
-
-def in_parts(stored: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Only the folders that can hold the given ids, if ``stored`` was written by ``merge_table``.
-
-    Result tables keep the whole history. The folders of a window's ids are few, so finding them
-    first, from the id column alone, saves reading all the others.
-    """
-    if PART not in stored.columns:
-        return stored
-    return stored.filter(F.col(PART).isin(_parts(ids.select(partition_of(F.col(key)).alias(PART)))))
-
-
-def stored_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    """The stored table, or an empty frame of its layout if nothing has been stored yet."""
-    full = T.StructType([*layout.fields, T.StructField(PART, T.StringType())])
-    if not _exists(spark, path):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
-
-
-def merge_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], layout: T.StructType, sort_key: str
-) -> None:
-    """Upsert ``batch`` into the table at ``path``, rewriting only the folders its keys live in.
-
-    The merged folders are complete in the work folder before the table is touched. Plain parquet
-    has no transactions: readers should not overlap the swap; a repeated run gives the same table.
-    """
-    placed = partition_of(F.col("_id_oid")) if "_id_oid" in keys else partition_of_time(F.col(sort_key))
-    staged = materialise(conform(batch, layout).withColumn(PART, placed), "batch")
-    touched = _parts(staged)
-    if not touched:
-        return
-    current = stored_table(spark, path, layout).filter(F.col(PART).isin(touched))
-    _replace_parts(spark, path, upsert(current, staged, [*keys, PART]), touched, sort_key)
-
-
-def expire_table(spark: SparkSession, path: str, expired: DataFrame, layout: T.StructType, sort_key: str = "_id_oid") -> None:
-    """Drop the points of expired routes, rewriting only the folders that hold such points.
-
-    Routes expire for good, so most expired ids are long gone; their id column alone tells which are left.
-    """
-    if not _exists(spark, path):
-        return
-    placed = expired.withColumn(PART, partition_of(F.col("_id_oid")))
-    held = stored_table(spark, path, layout).select("_id_oid", PART).join(placed, ["_id_oid", PART], "left_semi")
-    staged = materialise(held.distinct(), "expired")
-    touched = _parts(staged)
-    if not touched:
-        return
-    current = stored_table(spark, path, layout).filter(F.col(PART).isin(touched))
-    kept = current.join(staged, ["_id_oid", PART], "left_anti").select(*current.columns)
-    _replace_parts(spark, path, kept, touched, sort_key)
-
-
-def _parts(df: DataFrame) -> list[str]:
-    """Folder names present in ``df``: one per day of ids plus at most ``HASH_PARTS``."""
-    return sorted(row[0] for row in df.select(PART).distinct().collect())
-
-
-def _replace_parts(spark: SparkSession, path: str, rows: DataFrame, touched: list[str], sort_key: str) -> None:
-    merged = materialise(rows, "merged")
-    # Rebalancing splits a folder that outgrows one task and packs small ones together.
-    (
-        merged.hint("rebalance", PART)
-        .sortWithinPartitions(PART, sort_key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART)
-        .parquet(path)
-    )
-    filled = set(_parts(merged))
-    for name in touched:
-        if name not in filled:
-            _delete(spark, f"{path.rstrip('/')}/{PART}={name}")
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, place = _file_system(spark, path)
-    return files.exists(place)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, place = _file_system(spark, path)
-    files.delete(place, True)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from legmeter.config import ROAD, WATER_DOMAIN, WATER_KM_CAP, RunWindow, ntz
 from legmeter.functions.timing import day_start, iso_text
-from legmeter.operators.upsert import in_parts
 from legmeter.sources.tables import Tables
 
 EXPORT_COLUMNS = ["order_id", "courier_id", "date_l", "domain_type", "step", "osrm", "distance"]
@@ -26,7 +25,7 @@ def water_km_capped(tables: Tables, first, last) -> DataFrame:
     orders = tables.marketorders.filter(
         (F.col("domaintype") == WATER_DOMAIN) & F.col("checkoutdatel").between(ntz(first), ntz(last))
     ).select("_id_oid", "courier_courier_oid", "checkoutdatel")
-    stored = in_parts(tables.leg_distances, orders, "_id_oid")
+    stored = tables.near("leg_distances", orders, "_id_oid")
     legs = stored.filter(F.col("distance_type") == ROAD).select("_id_oid", "step", "distance")
     # ``least`` would turn an unknown distance into the cap.
     capped = F.when(F.col("distance") > WATER_KM_CAP, F.lit(WATER_KM_CAP)).otherwise(F.col("distance"))

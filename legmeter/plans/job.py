@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legmeter.config import ARTISAN_DOMAIN, FOOD_DOMAIN, JobConfig, RunWindow
+from legmeter.operators import snapshots
 from legmeter.operators.legs import (
     legs_with_return,
     predict_missing,
@@ -16,18 +17,9 @@ from legmeter.operators.legs import (
     trip_legs,
     with_step,
 )
-from legmeter.operators.upsert import (
-    LEG_KEYS,
-    POINT_KEYS,
-    REFILL_KEYS,
-    TRIP_KEYS,
-    expire_table,
-    expired_routes,
-    merge_table,
-    remaining,
-    stored_table,
-)
-from legmeter.plans import gps, missing, trips, water
+from legmeter.operators.pricing import settled
+from legmeter.operators.upsert import LEG_KEYS, POINT_KEYS, REFILL_KEYS, TRIP_KEYS, expired_routes
+from legmeter.plans import averages, gps, missing, trips, water
 from legmeter.plans.export import write_partner_export
 from legmeter.plans.finalize import (
     all_legs,
@@ -39,6 +31,7 @@ from legmeter.plans.finalize import (
     finalize_trips,
 )
 from legmeter.plans.market import legs_market
+from legmeter.plans.slots import SlotGrid, order_lines_slots
 from legmeter.sources.landing import feed_window, read_partner_feed, write_check_tables
 from legmeter.sources.tables import LEG_LAYOUT, POINT_LAYOUT, REFILL_LAYOUT, TRIP_LAYOUT, Tables
 
@@ -65,6 +58,31 @@ TARGETS = {
 }
 
 
+# Result tables that later runs read.
+READ_AGAIN = {"leg_distances": LEG_LAYOUT, "food_distances": TRIP_LAYOUT, "artisan_distances": TRIP_LAYOUT}
+
+
+def open_tables(spark: SparkSession, root: str, results: str) -> Tables:
+    """Input tables from ``root/<name>`` and the result tables that runs have stored under ``results``."""
+    plain, base = Tables.from_parquet(spark, root), results.rstrip("/")
+
+    def load(name: str) -> DataFrame:
+        if name in READ_AGAIN:
+            return snapshots.read(spark, f"{base}/{name}", READ_AGAIN[name])
+        return getattr(plain, name)
+
+    def load_near(name: str, ids: DataFrame, key: str) -> DataFrame:
+        return snapshots.read_near(spark, f"{base}/{name}", READ_AGAIN[name], ids, key)
+
+    def load_averages(line: str, *chosen) -> DataFrame | None:
+        if not snapshots.exists(spark, f"{base}/{averages.TABLE}"):
+            return None
+        return averages.averages(spark, opened, base, line, *chosen)
+
+    opened = Tables(load, load_near, load_averages)
+    return opened
+
+
 def order_lines(tables: Tables, config: JobConfig) -> dict[str, DataFrame]:
     """The unpriced rows of every line the run covers."""
     window, places, policy = config.window, config.warehouses, config.split
@@ -94,6 +112,7 @@ def order_lines(tables: Tables, config: JobConfig) -> dict[str, DataFrame]:
 def refill_legs(refills: DataFrame, provider) -> DataFrame:
     """Refill point to warehouse."""
     points = ("refill_lon", "refill_lat", "warehouse_lon", "warehouse_lat")
+    refills = settled(refills, provider)
     return provider.prepared(refills, [points]).price(refills, points).withColumn("distance_type", F.lit(provider.label))
 
 
@@ -146,22 +165,37 @@ def run(tables: Tables, config: JobConfig, provider=None, feed_path: str | None
     return results
 
 
+def run_slots(tables: Tables, config: JobConfig, grid: SlotGrid, provider) -> dict[str, DataFrame]:
+    """The results of all runs of a grid in mode ``osrm``, as storing one run after the other would leave them.
+
+    ``config.window`` plays no part: the grid has the windows. An order that several runs cover counts in the last.
+    """
+    names = {"market": ["market"], "water": ["water", "refill"], "food": ["food"], "artisan": ["artisan"]}
+    chosen = [part for name, choices in LINES.items() if config.line in choices for part in names[name]]
+    lines = order_lines_slots(tables, grid, config.reasons, chosen, config.warehouses, latest_only=True)
+    return price_lines({name: rows.drop("run_start") for name, rows in lines.items()}, config, provider)
+
+
 def store(
     spark: SparkSession, results: dict[str, DataFrame], root: str, config: JobConfig, tables: Tables | None = None
 ) -> int | None:
-    """Merge every result into its table under ``root``.
+    """Merge every result into its table under ``root`` and, with ``tables``, bring the kept averages up to date.
 
-    A run with routes also expires old ones and returns how many points are left.
+    A run with routes also expires old ones and returns how many points are left, from the counts of the slices.
     """
     base = root.rstrip("/")
     for name, rows in results.items():
         table, keys, layout, sort_key = TARGETS[name]
-        merge_table(spark, f"{base}/{table}", rows, keys, layout, sort_key)
+        snapshots.merge(spark, f"{base}/{table}", rows, keys, layout, sort_key)
+    if tables is not None and any(name in results for name in READ_AGAIN):
+        averages.refresh(spark, tables, base, config.window)
+        snapshots.vacuum(spark, f"{base}/{averages.TABLE}")
+    for table in sorted({TARGETS[name][0] for name in results}):
+        snapshots.vacuum(spark, f"{base}/{table}")
     if "route_points" in results and tables is not None:
         path = f"{base}/route_points"
         expired = expired_routes(tables.routes_market, config.window.start, config.warehouses)
-        expire_table(spark, path, expired, POINT_LAYOUT)
-        return remaining(stored_table(spark, path, POINT_LAYOUT)).first()["remaining"]
+        return snapshots.expire(spark, path, expired, POINT_LAYOUT).rows
     return None
 
 

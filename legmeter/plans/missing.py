@@ -24,7 +24,6 @@ from legmeter.config import (
 from legmeter.functions.timing import effective_within, in_days, within
 from legmeter.operators.legs import TRIP_LEGS
 from legmeter.operators.orders import batch_max, in_warehouses, is_eligible
-from legmeter.operators.upsert import in_parts
 from legmeter.plans.market import courier_sequence, leg_columns, padded_market_rows
 from legmeter.plans.trips import (
     COMPLETED_TASKS,
@@ -73,7 +72,7 @@ def _average_distance(
         & in_warehouses(F.col("warehouse_warehouse_oid"), warehouses)
     ).select("_id_oid", F.col("warehouse_warehouse_oid").alias("warehouse_id"))
     return (
-        in_parts(tables.leg_distances, orders, "_id_oid")
+        tables.near("leg_distances", orders, "_id_oid")
         .filter(kind)
         .select("_id_oid", "distance")
         .join(orders, "_id_oid")
@@ -83,12 +82,16 @@ def _average_distance(
 
 
 def avg_distance_market(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
-    """Average km per warehouse over all kinds of distance."""
-    return _average_distance(tables, window, MARKET_DOMAINS, warehouses, F.lit(True))
+    """Average km per warehouse over all kinds of distance; kept sums are used where there are some."""
+    kept = tables.averages("market", window, warehouses)
+    return kept if kept is not None else _average_distance(tables, window, MARKET_DOMAINS, warehouses, F.lit(True))
 
 
 def avg_distance_water(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
     """Average road km per warehouse, over the window and the day before it."""
+    kept = tables.averages("water", window, warehouses)
+    if kept is not None:
+        return kept
     wide = window.widened(back_hours=WATER_LOOK_BACK_HOURS)
     return _average_distance(tables, wide, (WATER_DOMAIN,), warehouses, F.col("distance_type") == ROAD)
 
@@ -98,7 +101,7 @@ def market_missing(
 ) -> DataFrame:
     rows = padded_market_rows(tables, window, warehouses)
     sequenced = courier_sequence(rows, "eff_date_l", policy).filter(within(F.col("eff_date"), window))
-    stored = in_parts(tables.leg_distances, rows, "order_id")
+    stored = tables.near("leg_distances", rows, "order_id")
     missing = sequenced.join(priced_orders(stored), "order_id", "left_anti")
     return (
         leg_columns(missing, batch_max(rows))
@@ -120,7 +123,7 @@ def water_missing(
     sequenced = vehicle_sequence(rows, by_effective_date=True, policy=policy).filter(
         within(F.col("delivered"), window)
     )
-    stored = in_parts(tables.leg_distances, rows, "order_id")
+    stored = tables.near("leg_distances", rows, "order_id")
     missing = sequenced.join(priced_orders(stored), "order_id", "left_anti")
     refilled = orders_after_refill(next_order_after_refill(tables, window, reasons, warehouses, policy))
     return (
@@ -142,12 +145,12 @@ def complete_trips(trip_distances: DataFrame) -> DataFrame:
     )
 
 
-def _average_legs(kept: DataFrame, tables: Tables, distances: DataFrame) -> DataFrame:
+def _average_legs(kept: DataFrame, tables: Tables, distances: str) -> DataFrame:
     """Average km of each leg per courier warehouse, for warehouses with a known zone."""
     zones = tables.warehouse_locations.select(F.col("warehouse").alias("courierwarehouse_oid"))
     orders = kept.select("_id_oid", "courierwarehouse_oid").join(zones, "courierwarehouse_oid")
     return (
-        in_parts(distances, kept, "_id_oid")
+        tables.near(distances, kept, "_id_oid")
         .select("_id_oid", *TRIP_LEGS)
         .join(orders, "_id_oid")
         .groupBy("courierwarehouse_oid")
@@ -156,13 +159,19 @@ def _average_legs(kept: DataFrame, tables: Tables, distances: DataFrame) -> Data
 
 
 def avg_legs_food(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
+    known = tables.averages("food", window, warehouses)
+    if known is not None:
+        return known.withColumnRenamed("warehouse_id", "courierwarehouse_oid")
     kept = kept_orders(tables.food_orders, window, food_delivery(), warehouses)
-    return _average_legs(kept, tables, tables.food_distances)
+    return _average_legs(kept, tables, "food_distances")
 
 
 def avg_legs_artisan(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
+    known = tables.averages("artisan", window, warehouses)
+    if known is not None:
+        return known.withColumnRenamed("warehouse_id", "courierwarehouse_oid")
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
-    return _average_legs(kept, tables, tables.artisan_distances)
+    return _average_legs(kept, tables, "artisan_distances")
 
 
 def _with_averages(missing: DataFrame, averages: DataFrame) -> DataFrame:
@@ -174,7 +183,7 @@ def _with_averages(missing: DataFrame, averages: DataFrame) -> DataFrame:
 def food_missing(tables: Tables, window: RunWindow, warehouses: Iterable[str] = ("all",)) -> DataFrame:
     kept = kept_orders(tables.food_orders, window, food_delivery(), warehouses)
     rows = trip_rows(kept, tables, courier_warehouse(), "inner")
-    missing = rows.join(complete_trips(in_parts(tables.food_distances, kept, "_id_oid")), "order_id", "left_anti")
+    missing = rows.join(complete_trips(tables.near("food_distances", kept, "_id_oid")), "order_id", "left_anti")
     averaged = _with_averages(missing, avg_legs_food(tables, window, warehouses))
     return averaged.select(*TRIP_COLUMNS, *[f"{leg}_avg" for leg in TRIP_LEGS])
 
@@ -185,7 +194,7 @@ def artisan_missing(
     """One row per order; ``batch_index`` is the order's first completed delivery task, if it has one."""
     kept = kept_orders(tables.artisan_orders, window, artisan_delivery(), warehouses)
     rows = trip_rows(kept, tables, warehouse_or_store(), "inner")
-    missing = rows.join(complete_trips(in_parts(tables.artisan_distances, kept, "_id_oid")), "order_id", "left_anti")
+    missing = rows.join(complete_trips(tables.near("artisan_distances", kept, "_id_oid")), "order_id", "left_anti")
     first = (
         task_batch_index(tables, "orderid_oid", COMPLETED_TASKS, policy, kept)
         .groupBy(F.col("orderid_oid").alias("order_id"))

@@ -58,15 +58,8 @@ def vehicle_sequence(rows: DataFrame, by_effective_date: bool = False, policy: S
     return numbered.drop("_day", "_time", vehicles.piece, couriers.piece)
 
 
-def next_order_after_refill(
-    tables: Tables,
-    window: RunWindow,
-    reasons: Reasons,
-    warehouses: Iterable[str] = ("all",),
-    policy: SplitPolicy = SplitPolicy(),
-) -> DataFrame:
-    """Refill events of the window with the courier's next order, looked for up to two hours past the end."""
-    wide = window.widened(ahead_hours=REFILL_LOOK_AHEAD_HOURS)
+def refill_events(tables: Tables, wide: RunWindow, reasons: Reasons, warehouses: Iterable[str] = ("all",)) -> DataFrame:
+    """Refills and the events that name an order, with the local time they are compared by and its zone."""
     # Only refills are asked for, and only rows with an order can answer; all others stay out of the window.
     events = in_days(tables.courier_status_logs, wide).filter(
         within(F.col("createdat"), wide)
@@ -77,7 +70,7 @@ def next_order_after_refill(
     zones = tables.warehouse_locations.join(
         tables.warehouses.select(F.col("_id_oid").alias("warehouse")), "warehouse", "left_semi"
     )
-    rows = with_zone(events, zones, F.col("warehouse_oid")).select(
+    return with_zone(events, zones, F.col("warehouse_oid")).select(
         F.col("_id_oid").alias("log_id"),
         "createdat",
         to_zone(F.col("createdat"), F.col("zone")).alias("compare_date_l"),
@@ -86,7 +79,19 @@ def next_order_after_refill(
         F.col("data_plate").alias("vehicle"),
         "data_reason_oid",
         "marketorder_oid",
+        "zone",
     )
+
+
+def next_order_after_refill(
+    tables: Tables,
+    window: RunWindow,
+    reasons: Reasons,
+    warehouses: Iterable[str] = ("all",),
+    policy: SplitPolicy = SplitPolicy(),
+) -> DataFrame:
+    """Refill events of the window with the courier's next order, looked for up to two hours past the end."""
+    rows = refill_events(tables, window.widened(ahead_hours=REFILL_LOOK_AHEAD_HOURS), reasons, warehouses).drop("zone")
     groups = OrderedGroups(
         ["warehouse_id", "courier_id"], ["compare_date_l", "createdat", "log_id"], policy=policy, name="event_piece"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,34 @@ def read_stage(spark: SparkSession, path: str, layout: T.StructType) -> DataFram
     return spark.read.schema(layout).option("header", True).option("enforceSchema", True).csv(path)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_number, raw_line`` of text files, numbered from 1 however the files are split among tasks.
+
+    A split knows where it starts and how many lines it has; the lines of the splits before it are added to a line's place
+    in its own.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.col("value").alias("raw_line"),
+    )
+    splits = lines.groupBy("file", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_split")) - F.col("_lines")
+    starts = splits.select("file", "_split", "_first", before.alias("_before"))
+    return lines.join(starts, ["file", "_split"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_number"), "raw_line")
+
+
+def read_stage_checked(spark: SparkSession, path: str, layout: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Staged rows by position with ``file`` and ``line_number``, and one row per rejected line or field.
+
+    The first line of each file is its header; empty lines are no rows. A field must not hold a line break.
+    """
+    lines = numbered_lines(spark, path)
+    rows = lines.where("line_number > 1") if header else lines
+    return split_lines(rows.where("trim(raw_line) != ''"), layout, ("file", "line_number"))
+
+
 def feed_window(mode: str, window: RunWindow) -> RunWindow:
     """The feed lags: unless the mode asks for the window itself, take 90 minutes, six hours back."""
     if mode in ("partner", "gps"):
@@ -50,8 +78,15 @@ def read_partner_feed(
     repair: bool = True,
 ) -> DataFrame:
     """Partner distances landed as JSON, in km. Daily runs select by start, hourly ones by processing time."""
-    moment = "start_time" if period == "daily" else "processed_time"
-    raw = spark.read.schema(FEED_LAYOUT).json(path).filter(within(F.col(moment), window))
+    raw = spark.read.schema(FEED_LAYOUT).json(path).filter(within(F.col(_moment(period)), window))
+    return _feed_rows(raw, updated_at, label, repair)
+
+
+def _moment(period: str) -> str:
+    return "start_time" if period == "daily" else "processed_time"
+
+
+def _feed_rows(raw: DataFrame, updated_at, label: str, repair: bool) -> DataFrame:
     km = F.col("distance") / 1000.0
     if repair:
         # Some rows arrive in another unit; only mode ``partner`` asks for the repair.
@@ -66,8 +101,8 @@ def read_partner_feed(
     )
 
 
-def split_lines(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Parse ``(query, line_number, raw_line)`` rows; returns accepted rows and one row per error.
+def split_lines(raw: DataFrame, layout: T.StructType, place: tuple[str, ...] = ("query", "line_number")) -> tuple[DataFrame, DataFrame]:
+    """Parse ``raw_line`` of rows that ``place`` tells apart; returns accepted rows and one row per error.
 
     A line with too few or too many fields is one error without a column; otherwise every field that
     does not fit its type is one.
@@ -101,9 +136,9 @@ def split_lines(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFr
         "_errors", F.when(broken, F.array(misshapen)).otherwise(F.array_compact(F.array(*checks)))
     )
     accepted = found.filter(F.size("_errors") == 0).select(
-        "query", "line_number", *[F.col(f"_fields.{f.name}").try_cast(f.dataType).alias(f.name) for f in layout.fields]
+        *place, *[F.col(f"_fields.{f.name}").try_cast(f.dataType).alias(f.name) for f in layout.fields]
     )
-    errors = found.select("query", "line_number", "raw_line", F.inline("_errors"))
+    errors = found.select(*place, "raw_line", F.inline("_errors"))
     return accepted, errors
 
 

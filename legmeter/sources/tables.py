@@ -61,8 +61,13 @@ INPUT_TABLES = (
 class Tables:
     """The tables a run reads, as attributes. A table is opened when a plan first names it."""
 
-    def __init__(self, load: Callable[[str], DataFrame]):
-        self._load = load
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        load_near: Callable[[str, DataFrame, str], DataFrame] | None = None,
+        load_averages: Callable[..., DataFrame] | None = None,
+    ):
+        self._load, self._load_near, self._load_averages = load, load_near, load_averages
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUT_TABLES:
@@ -71,6 +76,17 @@ class Tables:
         self.__dict__[name] = frame
         return frame
 
+    def near(self, name: str, ids: DataFrame, key: str) -> DataFrame:
+        """The result table ``name``, or as little of it as can hold the ids in column ``key``.
+
+        Result tables keep the whole history, a window's ids are in few places of it.
+        """
+        return self._load_near(name, ids, key) if self._load_near else getattr(self, name)
+
+    def averages(self, line: str, *chosen) -> DataFrame | None:
+        """The averages that are kept for a line over a window and warehouses, if any are kept."""
+        return self._load_averages(line, *chosen) if self._load_averages else None
+
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **paths: str) -> "Tables":
         """Every table from ``root/<name>``, unless ``paths`` names another place for it."""

@@ -6,12 +6,13 @@ from datetime import datetime
 
 import pytest
 from compare import spark_rows
+from pyspark.sql import functions as F
 
 from legmeter.catalog.queries import UPDATED_AT, WINDOW, stand_ins
 from legmeter.config import JobConfig, RunWindow
+from legmeter.operators import snapshots
 from legmeter.operators.pricing import GreatCircle
-from legmeter.operators.upsert import PART, stored_table
-from legmeter.plans.job import MODES, TARGETS, check, daily_export, order_lines, run, store
+from legmeter.plans.job import MODES, TARGETS, check, daily_export, open_tables, order_lines, run, store
 from legmeter.sources.tables import LEG_LAYOUT
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -81,13 +82,27 @@ def test_store_twice_is_store_once(spark, tables, tmp_path):
     config = JobConfig("both", WEEK, UPDATED_AT, line="1")
     found = run(tables, config, GreatCircle(8.0))
     left = store(spark, found, str(tmp_path), config, tables)
-    once = spark_rows(stored_table(spark, f"{tmp_path}/leg_distances", LEG_LAYOUT).drop(PART))
+    once = spark_rows(snapshots.read(spark, f"{tmp_path}/leg_distances", LEG_LAYOUT))
     assert store(spark, found, str(tmp_path), config, tables) == left > 0
-    assert spark_rows(stored_table(spark, f"{tmp_path}/leg_distances", LEG_LAYOUT).drop(PART)) == once
+    assert spark_rows(snapshots.read(spark, f"{tmp_path}/leg_distances", LEG_LAYOUT)) == once
     kinds = {row[names] for names in [once[0].index("distance_type")] for row in once[1]}
     assert kinds == {"haversine", "gps"}
 
 
+def test_a_missing_run_reads_what_runs_have_stored(spark, tables, tmp_path):
+    inputs, kept = str(tmp_path / "in"), str(tmp_path / "results")
+    for name in ("marketorders", "warehouse_locations", "warehouses", "courier_status_logs", "food_orders", "artisan_orders", "courier_tasks"):
+        getattr(tables, name).write.parquet(f"{inputs}/{name}")
+    opened = open_tables(spark, inputs, kept)
+    missing = lambda: order_lines(opened, JobConfig("monthly_missing", WEEK, UPDATED_AT))["market"].count()
+    everything = missing()
+    config = JobConfig("osrm", RunWindow("1998-01-10", "1998-01-14"), UPDATED_AT, line="3")
+    found = {name: rows.withColumn("distance_type", F.lit("osrm")) for name, rows in run(tables, config, GreatCircle(8.0)).items()}
+    store(spark, found, kept, config)
+    priced = found["leg_distances"].select("_id_oid").distinct().count()
+    assert 0 < priced and missing() == everything - priced
+
+
 def test_export_runs_once_a_day(spark, tables, tmp_path):
     config = JobConfig("osrm", WEEK, UPDATED_AT)
     assert not daily_export(tables, config, datetime(1998, 1, 11, 5), str(tmp_path / "none"))

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from legmeter.catalog.queries import WINDOW, stand_ins
 from legmeter.config import Reasons, RunWindow
 from legmeter.functions.timing import in_days
+from legmeter.operators import snapshots
 from legmeter.operators.legs import price_legs
 from legmeter.operators.pricing import TablePrices
-from legmeter.operators.upsert import LEG_KEYS, PART, merge_table, stored_table
+from legmeter.operators.upsert import LEG_KEYS
 from legmeter.plans import gps, market, missing, trips, water
 from legmeter.sources.tables import INPUT_TABLES, LEG_LAYOUT, Tables, store_by_day
 
@@ -95,29 +96,28 @@ def test_only_the_folders_of_the_window_are_opened(by_day):
     assert node.metrics().apply("numPartitions").value() == 2
 
 
-def test_stored_results_are_read_by_folder(spark, stored, tmp_path):
-    """Ids with a creation time: the missing run opens the result folders of its own days only."""
-    day = F.floor(F.col("_id_oid").cast("long") / 200).cast("int") * 86400 + 882900992
-    oid = F.concat(F.lower(F.lpad(F.hex(day), 8, "0")), F.lpad(F.col("_id_oid"), 16, "0"))
-    orders = stored.marketorders.withColumn("_id_oid", oid)
-    legs = stored.leg_distances.withColumn("_id_oid", oid)
+def opened_files(df) -> set[str]:
+    return {name.split("/data/")[1] for name in df.inputFiles()}
+
+
+def test_stored_results_are_read_by_slice(spark, stored, tmp_path):
+    """The missing run opens the slices of its own ids only, here plain numbers."""
     path = str(tmp_path / "legs")
-    merge_table(spark, path, legs, LEG_KEYS, LEG_LAYOUT, "_id_oid")
-    kept = stored_table(spark, path, LEG_LAYOUT)
-    assert kept.select(PART).distinct().count() > 5
-    some = orders.filter(F.conv(F.substring("_id_oid", 1, 8), 16, 10).cast("long") < 882900992 + 2 * 86400)
-    by_folder, plainly = (
-        Tables({"marketorders": some, "warehouse_locations": stored.warehouse_locations, "leg_distances": t}.__getitem__)
-        for t in (kept, legs)
-    )
-    found = missing.market_missing(by_folder, WINDOW)
-    assert re.search(r"PartitionFilters: \[part#\d+ IN \(d1997-12-23,d1997-12-24\)", scan_of(found, "distance_type"))
-    assert spark_rows(found.drop("avg_distance")) == spark_rows(
-        missing.market_missing(plainly, WINDOW).drop("avg_distance")
-    )
+    state = snapshots.merge(spark, path, stored.leg_distances, LEG_KEYS, LEG_LAYOUT, "_id_oid", 100)
+    assert len(state.slices) > 5
+    some = stored.marketorders.filter(F.col("_id_oid").cast("long") < 400)
+    near = snapshots.read_near(spark, path, LEG_LAYOUT, some, "_id_oid")
+    held = [s for s in state.slices if s.least <= "#" + "399".zfill(19)]
+    assert 0 < len(held) < len(state.slices) / 2
+    assert {name.rsplit("/", 1)[0] for name in opened_files(near)} == {f for s in held for f in s.folders}
+    frames = {"marketorders": some, "warehouse_locations": stored.warehouse_locations, "leg_distances": stored.leg_distances}
+    by_slice = Tables(frames.__getitem__, lambda name, ids, key: snapshots.read_near(spark, path, LEG_LAYOUT, ids, key))
+    plainly = Tables(frames.__getitem__)
+    found, wanted = (spark_rows(missing.market_missing(t, WINDOW).drop("avg_distance")) for t in (by_slice, plainly))
+    assert found == wanted
     averages = [
         {r.warehouse_id: round(r.avg_distance, 6) for r in missing.avg_distance_market(t, WINDOW).collect()}
-        for t in (by_folder, plainly)
+        for t in (by_slice, plainly)
     ]
     assert averages[0] == averages[1] != {}
 
@@ -192,5 +192,5 @@ def test_price_table_is_cut_down_to_the_legs_before_it_is_aggregated(spark):
 
 def test_routes_decode_after_the_last_shuffle_without_row_functions(stored):
     plan = plan_of(gps.gps_routes(stored, WINDOW))
-    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
-    assert plan.index("ArrowEvalPython") < plan.index("Exchange")
+    assert "Python" not in plan and "Arrow" not in plan
+    assert plan.index("Generate") < plan.index("Exchange")

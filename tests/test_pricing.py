@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from legmeter.operators.legs import trip_legs
-from legmeter.operators.pricing import BatchPrices, GreatCircle, TablePrices
+from legmeter.operators.legs import price_legs, trip_legs
+from legmeter.operators.price_store import RememberedPrices, StoredPrices, quadkey, store_prices
+from legmeter.operators.pricing import LEG_POINTS, BatchPrices, GreatCircle, TablePrices
 
 LEGS = "id string, from_lon double, from_lat double, to_lon double, to_lat double"
 PRICES = "from_lon double, from_lat double, to_lon double, to_lat double, distance double, duration double"
@@ -92,3 +96,96 @@ def test_half_of_all_legs_alike(spark):
         "from_lon", "from_lat", "to_lon", "to_lat", "from_lon as distance", "1d as duration"
     )
     assert TablePrices(prices).price(frame).filter("distance = from_lon").count() == 5100
+
+
+# --- prices kept between runs
+
+
+def cells(spark, places):
+    frame = spark.createDataFrame([(round(x * 1e6), round(y * 1e6)) for x, y in places], "x long, y long")
+    return [r.q for r in frame.select(quadkey(F.col("x"), F.col("y")).alias("q")).collect()]
+
+
+def test_places_near_each_other_have_keys_near_each_other(spark):
+    near, next_to, far, corner, outside = cells(spark, [(28.5, 41.0), (28.50001, 41.00001), (-70.0, 41.0), (-180.0, -90.0), (500.0, 99.0)])
+    assert len(near) == 20 and set(near) <= set("0123")
+    assert near[:17] == next_to[:17] and near[0] != far[0]
+    assert corner == "0" * 20 and outside == "3" * 20
+
+
+def grid(spark, size):
+    """A price for each of ``size`` squared starts, ten kilometres apart."""
+    rows = [(-60.0 + x / 10, -40.0 + y / 10, -60.0, -40.0, float(x), 1.0) for x in range(size) for y in range(size)]
+    return spark.createDataFrame(rows, PRICES)
+
+
+def test_only_the_places_of_the_legs_are_opened(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    state = store_prices(grid(spark, 60), path, "1998-01-01", slice_rows=100)
+    assert len(state.slices) > 20
+    legs = spark.createDataFrame([("a", -60.0 + 7 / 10, -40.0 + 3 / 10, -60.0, -40.0), ("b", -59.999, -39.999, -60.0, -40.0), ("open", None, 1.0, 1.0, 1.0)], LEGS)
+    provider = StoredPrices(path).prepared(legs, [LEG_POINTS])
+    opened = {name.split("/data/")[1].rsplit("/", 1)[0] for name in provider.side.inputFiles()}
+    assert 0 < len(opened) <= 2 < len(state.slices)
+    plan = provider.price(legs)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    assert {r.id: r.distance for r in provider.price(legs).collect()} == {"a": 7.0, "b": None, "open": None}
+
+
+def test_legs_are_worked_out_once(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    store_prices(grid(spark, 5), path, "1998-01-01")
+    worked = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            worked.add(len(frame))
+            yield frame
+
+    legs = spark.createDataFrame([(str(i), -60.0 + i % 5 / 10, -40.0, -60.0, -40.0) for i in range(50)], LEGS).mapInPandas(count, LEGS)
+    for provider in (StoredPrices(path), TablePrices(grid(spark, 5)), BatchPrices(lambda batch, attempt: batch.assign(distance=1.0, duration=1.0)[["distance", "duration"]])):
+        before = worked.value
+        assert price_legs(legs, provider).filter("distance is not null").count() == 50
+        assert worked.value - before == 50
+
+
+def test_a_newer_price_replaces_the_older(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    legs = spark.createDataFrame([("a", 1.0, 2.0, 3.0, 4.0)], LEGS)
+    for metres, seconds in ((500.0, 50.0), (700.0, 30.0)):
+        rows = [(1.0, 2.0, 3.0, 4.0, metres, seconds), (1.0, 2.0, 3.0, 4.0, metres + 1, seconds - 1), (1.0, None, 3.0, 4.0, 1.0, 1.0)]
+        store_prices(spark.createDataFrame(rows, PRICES), path, "1998-01-01")
+        priced = StoredPrices(path).prepared(legs, [LEG_POINTS]).price(legs).first()
+        assert (priced.distance, priced.duration) == (metres, seconds - 1)
+
+
+def test_only_new_stale_and_failed_legs_are_asked_again(spark, tmp_path):
+    path, notes = str(tmp_path / "prices"), tmp_path / "notes"
+    notes.mkdir()
+
+    def run(legs, now, answers):
+        """Legs asked in a run at ``now``, by their start; only those among ``answers`` get a price."""
+        folder = notes / now.replace(":", "")
+        folder.mkdir()
+
+        def ask(batch, attempt, folder=str(folder), answers=tuple(answers)):
+            import os
+            import uuid
+
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as note:
+                note.write(" ".join(str(int(x)) for x in batch["from_lon"]))
+            return pd.DataFrame({"distance": batch["from_lon"].where(batch["from_lon"].isin(answers)), "duration": 1.0})
+
+        frame = spark.createDataFrame([(str(i), float(i), 1.0, 2.0, 3.0) for i in legs], LEGS)
+        provider = RememberedPrices(ask, path, now, max_age=timedelta(days=10), give_up=2, rounds=1, parallel=1)
+        found = {int(r.from_lon): r.distance for r in price_legs(frame, provider).collect()}
+        assert found == {i: float(i) if i in answers or i in known else None for i in legs}
+        known.update(i for i in legs if i in answers)
+        return sorted(int(x) for note in folder.iterdir() for x in note.read_text().split())
+
+    known: set[int] = set()
+    assert run([1, 2, 3], "1998-01-01", [1, 2]) == [1, 2, 3]
+    assert run([1, 2, 3, 4], "1998-01-02", [4]) == [3, 4]  # the new one, and the one that failed once
+    assert run([1, 2, 3, 4], "1998-01-03", []) == []  # the failed one is given up
+    assert run([1, 3], "1998-01-11 12:00:00", [1]) == [1]  # stale; the failed one was asked on the second
+    assert run([1, 2, 3, 4], "1998-01-13", [1, 2, 3, 4]) == [2, 3, 4]

@@ -5,13 +5,12 @@ from __future__ import annotations
 import random
 from datetime import datetime
 
-import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from legmeter.functions.routes import decode_points_batch, route_offsets
+from legmeter.functions.routes import route_offsets, route_points, running_sums
 from legmeter.operators.routes import damaged_routes, latest_routes, route_to_points
 
 START = datetime(1998, 1, 10)
@@ -34,47 +33,55 @@ def encode(points: list[tuple[int, int]]) -> str:
     return "".join(text)
 
 
-def decode(texts):
-    return [
-        None if row is None else [(p["lat"], p["lon"]) for p in row]
-        for row in decode_points_batch(pa.array(texts, pa.string())).to_pylist()
-    ]
+def decode(spark, texts):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    rows = frame.select("i", route_points(F.col("t")).alias("p")).orderBy("i").collect()
+    return [None if r.p is None else [(p.lat, p.lon) for p in r.p] for r in rows]
 
 
-def test_known_text():
-    assert decode([SAMPLE, None, "", "_p~iF~ps|U"]) == [SAMPLE_POINTS, None, [], SAMPLE_POINTS[:1]]
+def test_known_text(spark):
+    assert decode(spark, [SAMPLE, None, "", "_p~iF~ps|U"]) == [SAMPLE_POINTS, None, [], SAMPLE_POINTS[:1]]
 
 
-def test_a_cut_route_does_not_leak_into_the_next():
+def test_a_cut_route_does_not_leak_into_the_next(spark):
     # The first text ends inside a number, the second after an unpaired latitude.
-    assert decode(["_p~iF~ps|", "_p~iF", SAMPLE]) == [[], [], SAMPLE_POINTS]
+    assert decode(spark, ["_p~iF~ps|", "_p~iF", SAMPLE]) == [[], [], SAMPLE_POINTS]
 
 
 def test_damaged_routes_are_null_and_counted(spark):
     long_number, strange, high = "~" * 14 + "?" + "A", "_p~iF\u00e9~ps|U", "_p~iF\x7f~ps|U"
-    texts = [SAMPLE, long_number, strange, None, "_p iF~ps|U", high, SAMPLE]
-    assert decode(texts) == [SAMPLE_POINTS, None, None, None, None, None, SAMPLE_POINTS]
+    texts = [SAMPLE, long_number, strange, None, "_p iF~ps|U", high, SAMPLE, "_p~iF~ps|U\n", "_" * 7 + "?A", "_" * 6 + "?A"]
+    assert decode(spark, texts) == [SAMPLE_POINTS, None, None, None, None, None, SAMPLE_POINTS, None, None, [(0.0, 1e-7)]]
     frame = spark.createDataFrame([(t,) for t in texts], "encoded_latlons string")
-    assert damaged_routes(frame).first().damaged == 4
+    assert damaged_routes(frame).first().damaged == 6
+
+
+def test_no_python_decodes(spark):
+    routes = spark.createDataFrame([("a", SAMPLE, "2s", START)], "_id_oid string, encoded_latlons string, encoded_time string, start_time timestamp_ntz")
+    plan = route_to_points(routes)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_running_sums(spark):
+    draw = random.Random(2)
+    for stride in (1, 2, 3):
+        lists = [[draw.randrange(-9, 10) for _ in range(size)] for size in (0, 1, 2, 3, 4, 5, 8, 9, 31, 32, 33, 100)]
+        frame = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<bigint>")
+        found = {r.i: r.s for r in frame.select("i", running_sums(F.col("x"), stride).alias("s")).collect()}
+        assert found == {i: [sum(x[k % stride : k + 1 : stride]) for k in range(len(x))] for i, x in enumerate(lists)}
 
 
 POINT = st.tuples(st.integers(-900_000_000, 900_000_000), st.integers(-1_800_000_000, 1_800_000_000))
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(POINT, max_size=20), max_size=12))
-def test_round_trip(routes):
-    assert decode([encode(route) for route in routes]) == [
+def test_round_trip(spark, routes):
+    assert decode(spark, [encode(route) for route in routes]) == [
         [(lat / 1e7, lon / 1e7) for lat, lon in route] for route in routes
     ]
 
 
-def test_sliced_and_empty_batches():
-    whole = pa.array([SAMPLE, "_p~iF~ps|U", SAMPLE])
-    assert len(decode_points_batch(whole.slice(1, 1))[0]) == 1
-    assert decode([]) == [] and decode([None, None]) == [None, None]
-
-
 @pytest.mark.parametrize(
     "text,wanted",
     [

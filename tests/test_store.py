@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 import pytest
 from compare import spark_rows
@@ -11,33 +11,13 @@ from pyspark.sql import types as T
 
 from legmeter.config import RunWindow
 from legmeter.functions.text import title_case_columns
-from legmeter.operators.upsert import (
-    LEG_KEYS,
-    PART,
-    REFILL_KEYS,
-    expire_table,
-    expired_routes,
-    merge_table,
-    partition_of,
-    retain,
-    stored_table,
-    upsert,
-)
+from legmeter.operators import snapshots
+from legmeter.operators.snapshots import order_text, slice_of
+from legmeter.operators.upsert import LEG_KEYS, REFILL_KEYS, expired_routes, retain, upsert
 from legmeter.sources.landing import feed_window, load_error_report, read_partner_feed, split_lines
 from legmeter.sources.tables import LEG_LAYOUT, POINT_LAYOUT, REFILL_LAYOUT, conform
 from legmeter.sources.templates import run_sql, run_sql_file
 
-DAY_ONE, DAY_TWO = "34a00000", "34a20000"  # seconds since 1970 in hex, a day and a half apart
-
-
-def oid(day: str, n: int) -> str:
-    return f"{day}{n:016x}"
-
-
-def folder(day: str) -> str:
-    return f"d{datetime.fromtimestamp(int(day, 16), timezone.utc):%Y-%m-%d}"
-
-
 def legs(spark, rows):
     return conform(spark.createDataFrame(rows, "_id_oid string, distance_type string, step int, distance double"), LEG_LAYOUT)
 
@@ -70,27 +50,112 @@ def test_retention_keeps_exactly_the_complement(spark):
     assert sorted(r[0] for r in kept.collect()) == ["edge", "none", "other"]
 
 
-def test_object_ids_are_stored_by_creation_day(spark):
-    ids = [oid(DAY_ONE, 1), oid(DAY_ONE, 2), oid(DAY_TWO, 1), "not-an-id", None]
-    frame = spark.createDataFrame([(i,) for i in ids], "i string").select(partition_of(F.col("i")).alias("p"))
-    parts = [r.p for r in frame.collect()]
-    assert parts[0] == parts[1] == folder(DAY_ONE) and parts[2] == folder(DAY_TWO) != folder(DAY_ONE)
-    assert parts[3][0] == parts[4][0] == "h"
+def test_slices_are_found_by_binary_search(spark):
+    lows = ["", "#" + "5".zfill(19), "#" + "40".zfill(19), "a", "b"]
+    keys = [None, "", "0", "4", "5", "39", "40", "400", "Z", "a", "abc", "b", "zz"]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string").select("k", order_text(F.col("k")).alias("at"))
+    for count in range(1, len(lows) + 1):
+        for row in frame.select("at", slice_of(F.col("at"), lows[:count]).alias("found")).collect():
+            assert row.found == max(i for i, low in enumerate(lows[:count]) if low <= row["at"])
+
+
+def numbered(spark, ids, distance=1.0):
+    return legs(spark, [(str(i), "osrm", 1, distance) for i in ids])
 
 
-def test_merge_rewrites_only_touched_folders(spark, tmp_path):
+def test_plain_ids_touch_only_their_slices(spark, tmp_path):
     path = str(tmp_path / "legs")
-    assert stored_table(spark, path, LEG_LAYOUT).count() == 0
-    first = legs(spark, [(oid(DAY_ONE, 1), "osrm", 1, 1.0), (oid(DAY_TWO, 1), "osrm", 1, 2.0), ("plain", "osrm", 1, 3.0)])
-    merge_table(spark, path, first, LEG_KEYS, LEG_LAYOUT, "_id_oid")
-    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "legs").rglob("*.parquet")}
-    batch = legs(spark, [(oid(DAY_TWO, 1), "osrm", 1, 20.0), (oid(DAY_TWO, 1), "osrm", -1, 21.0), (oid(DAY_TWO, 2), "gps", 1, 5.0)])
-    for _ in range(2):
-        merge_table(spark, path, batch, LEG_KEYS, LEG_LAYOUT, "_id_oid")
-        stored = stored_table(spark, path, LEG_LAYOUT)
-        assert spark_rows(stored.drop(PART)) == spark_rows(upsert(first, batch, LEG_KEYS))
-    untouched = [f for f in before if folder(DAY_TWO) not in str(f)]
-    assert len(untouched) == 2 and all(f.stat().st_mtime_ns == before[f] for f in untouched)
+    merge = lambda rows: snapshots.merge(spark, path, rows, LEG_KEYS, LEG_LAYOUT, "_id_oid", 100)
+    assert snapshots.read(spark, path, LEG_LAYOUT).count() == 0
+    first = numbered(spark, range(1000))
+    state = merge(first)
+    assert len(state.slices) >= 8 and state.rows == 1000 and state.slices[0].low == ""
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "legs" / "data").rglob("*.parquet")}
+    batch = legs(spark, [("500", "osrm", 1, 20.0), ("500", "osrm", -1, 21.0), ("505", "gps", 1, 5.0)])
+    for version in (2, 3):
+        after = merge(batch)
+        assert after.version == version
+        assert spark_rows(snapshots.read(spark, path, LEG_LAYOUT)) == spark_rows(upsert(first, batch, LEG_KEYS))
+    fresh = [s for s in after.slices if s not in state.slices]
+    assert len(fresh) <= 3 and all("#" + "300".zfill(19) < s.least and s.most < "#" + "700".zfill(19) for s in fresh)
+    assert all(f.stat().st_mtime_ns == at for f, at in files.items())
+    assert spark_rows(snapshots.read(spark, path, LEG_LAYOUT, 1)) == spark_rows(first)
+
+
+def test_slices_split_as_they_grow_and_small_ones_join(spark, tmp_path):
+    path = str(tmp_path / "legs")
+    for low in range(0, 600, 60):
+        state = snapshots.merge(spark, path, numbered(spark, range(low, low + 60)), LEG_KEYS, LEG_LAYOUT, "_id_oid", 100)
+    assert state.rows == 600 and 6 <= len(state.slices) <= 14
+    lows = [s.low for s in state.slices]
+    assert lows == sorted(set(lows)) and all(s.low <= s.least <= s.most for s in state.slices)
+    whole = snapshots.merge(spark, path, numbered(spark, range(600), 2.0), LEG_KEYS, LEG_LAYOUT, "_id_oid", 1000)
+    assert len(whole.slices) == 1 and {r.distance for r in snapshots.read(spark, path, LEG_LAYOUT).collect()} == {2.0}
+
+
+def test_a_key_larger_than_a_slice_stays_one_slice(spark, tmp_path):
+    path = str(tmp_path / "legs")
+    rows = legs(spark, [("7", "osrm", i, 1.0) for i in range(300)] + [(None, "osrm", i, 1.0) for i in range(300)] + [("9", "osrm", 1, 1.0)])
+    state = snapshots.merge(spark, path, rows, LEG_KEYS, LEG_LAYOUT, "_id_oid", 50)
+    assert state.rows == 601 and sum(s.least <= "#" + "7".zfill(19) <= s.most for s in state.slices) == 1
+    assert max(len(s.folders) for s in state.slices) > 1  # written by several tasks
+    state = snapshots.merge(spark, path, legs(spark, [("7", "osrm", 1, 2.0)]), LEG_KEYS, LEG_LAYOUT, "_id_oid", 50)
+    assert state.rows == 302
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    "step,moment", [("materialise", "after"), ("_rewrite", "before"), ("_publish", "before"), ("_publish", "after"), ("vacuum", "before"), ("_delete", "before")]
+)
+def test_a_killed_run_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step, moment):
+    path = str(tmp_path / "legs")
+    old, batch = numbered(spark, range(300)), numbered(spark, range(100, 120), 9.0)
+    new = upsert(old, batch, LEG_KEYS)
+
+    def store(rows):
+        snapshots.merge(spark, path, rows, LEG_KEYS, LEG_LAYOUT, "_id_oid", 100)
+        snapshots.vacuum(spark, path, keep=1)
+
+    store(old)
+    works = getattr(snapshots, step)
+
+    def killed(*args, **kw):
+        if moment == "after":
+            works(*args, **kw)
+        raise Killed
+
+    monkeypatch.setattr(snapshots, step, killed)
+    with pytest.raises(Killed):
+        store(batch)
+    monkeypatch.undo()
+    found = spark_rows(snapshots.read(spark, path, LEG_LAYOUT))
+    published = (step, moment) == ("_publish", "after") or step in ("vacuum", "_delete")
+    assert found == spark_rows(new if published else old)
+    store(batch)
+    assert spark_rows(snapshots.read(spark, path, LEG_LAYOUT)) == spark_rows(new)
+    named = {f.split("/")[0] for s in snapshots.snapshot(spark, path).slices for f in s.folders}
+    assert {p.name for p in (tmp_path / "legs" / "data").iterdir()} == named
+
+
+def test_of_two_runs_at_once_one_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "legs")
+    snapshots.merge(spark, path, numbered(spark, range(10)), LEG_KEYS, LEG_LAYOUT, "_id_oid")
+    publish = snapshots._publish
+
+    def late(*args):
+        monkeypatch.undo()
+        snapshots.merge(spark, path, numbered(spark, [1], 5.0), LEG_KEYS, LEG_LAYOUT, "_id_oid")
+        publish(*args)
+
+    monkeypatch.setattr(snapshots, "_publish", late)
+    with pytest.raises(snapshots.Conflict):
+        snapshots.merge(spark, path, numbered(spark, [2], 7.0), LEG_KEYS, LEG_LAYOUT, "_id_oid")
+    assert {r.distance for r in snapshots.read(spark, path, LEG_LAYOUT).collect()} == {1.0, 5.0}
+    with pytest.raises(LookupError):
+        snapshots.read(spark, path, LEG_LAYOUT, 9)
 
 
 def test_refills_merge_by_courier_and_time(spark, tmp_path):
@@ -98,21 +163,32 @@ def test_refills_merge_by_courier_and_time(spark, tmp_path):
     schema = "courier_id string, createdatl timestamp_ntz, refill_distance double"
     one = spark.createDataFrame([("C1", datetime(1998, 1, 1, 9), 1.0), ("C2", datetime(1998, 1, 1, 9), 2.0)], schema)
     two = spark.createDataFrame([("C1", datetime(1998, 1, 1, 9), 5.0), ("C1", datetime(1998, 1, 2, 9), 6.0)], schema)
-    for batch in (one, two):
-        merge_table(spark, path, batch, REFILL_KEYS, REFILL_LAYOUT, "createdatl")
-    stored = stored_table(spark, path, REFILL_LAYOUT)
+    for batch in (one, two, two.limit(0)):
+        snapshots.merge(spark, path, batch, REFILL_KEYS, REFILL_LAYOUT, "createdatl")
+    stored = snapshots.read(spark, path, REFILL_LAYOUT)
     assert sorted(r.refill_distance for r in stored.collect()) == [2.0, 5.0, 6.0]
 
 
-def test_expired_points_leave_and_empty_folders_go(spark, tmp_path):
+def test_expired_points_leave_and_only_their_slices_are_opened(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "points")
-    rows = [(oid(DAY_ONE, 1), 1.0), (oid(DAY_ONE, 1), 2.0), (oid(DAY_TWO, 1), 3.0), (oid(DAY_TWO, 2), 4.0)]
-    merge_table(spark, path, spark.createDataFrame(rows, "_id_oid string, lon double"), ["_id_oid"], POINT_LAYOUT, "_id_oid")
-    expired = spark.createDataFrame([(oid(DAY_ONE, 1),), (oid(DAY_TWO, 1),)], "_id_oid string")
+    rows = [(str(i), float(i)) for i in range(400) for _ in range(2)]
+    points = spark.createDataFrame(rows, "_id_oid string, lon double")
+    state = snapshots.merge(spark, path, points, ["_id_oid"], POINT_LAYOUT, "_id_oid", 100)
+    opened = []
+    whole = snapshots._rows
+    monkeypatch.setattr(snapshots, "_rows", lambda s, p, layout, slices: (opened.append(list(slices)), whole(s, p, layout, opened[-1]))[1])
+    # Ids below 0 and beyond the table left long ago; 3 is in the first slice, 399 in the last.
+    expired = spark.createDataFrame([(i,) for i in ("-5", "3", "399", "4000", "a", None)], "_id_oid string")
     for _ in range(2):
-        expire_table(spark, path, expired, POINT_LAYOUT)
-        assert [r.lon for r in stored_table(spark, path, POINT_LAYOUT).collect()] == [4.0]
-    assert len([p for p in (tmp_path / "points").iterdir() if p.name.startswith(PART)]) == 1
+        left = snapshots.expire(spark, path, expired, POINT_LAYOUT, slice_rows=100)
+        assert left.rows == 796 and left.version == 2
+    assert all(len(slices) <= 2 for slices in opened) and len(state.slices) >= 7
+    monkeypatch.undo()
+    assert spark_rows(snapshots.read(spark, path, POINT_LAYOUT)) == spark_rows(
+        points.where("_id_oid not in ('3', '399')").select("_id_oid", F.lit(None).cast("timestamp_ntz").alias("time"), "lon", F.lit(None).cast("double").alias("lat"))
+    )
+    everything = snapshots.expire(spark, path, points.select("_id_oid"), POINT_LAYOUT)
+    assert everything.slices == () and snapshots.read(spark, path, POINT_LAYOUT).count() == 0
 
 
 def test_feed_window_lags_unless_asked_for():
