@@ -16,7 +16,8 @@ document with a smaller id. Steps, each linear in the text:
 
 Defined results: a null text has no words; documents of fewer words than a window lose nothing; a null id is
 never smaller, so its document keeps all and removes nothing elsewhere; rows with the same id do not remove
-each other's words; repeated rows are each answered; an empty table gives no rows; further columns are carried
+each other's words and each lose what stands in smaller ids (texts of one id are told apart by a 64-bit hash);
+repeated rows are each answered; an empty table gives no rows; further columns are carried
 along by ``strip_documents``.
 """
 
@@ -39,6 +40,10 @@ ANCHOR = 17
 #: Words of the reference in one automaton, and words that stream through one copy of it.
 SHARD_WORDS = 100_000
 STREAM_WORDS = 400_000
+#: Words of one piece of a passage.
+STRETCH_WORDS = 20_000
+#: What tells a row's text from others: rows that share an id are cut each by its own text.
+ROW = ("doc_id", "content")
 
 
 class SuffixAutomaton:
@@ -150,7 +155,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def scan(documents: DataFrame, window: int) -> DataFrame:
-    """``doc_id, n_words, body`` (digest of the words) ``, anchors`` of every row."""
+    """``doc_id, content`` (hash of the text) ``, n_words, body`` (digest of the words) ``, anchors`` of every row."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,18 +164,18 @@ def scan(documents: DataFrame, window: int) -> DataFrame:
                 first, smallest = _window_anchors(words, window)
                 cuts = np.searchsorted(first, words.bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(row, words.documents),
+                    [batch["doc_id"].slice(row, words.documents), batch["content"].slice(row, words.documents),
                      pa.array(np.diff(words.bounds).astype(np.int64)),
                      pa.array([hashlib.sha256(joined(words, d)).hexdigest() for d in range(words.documents)]),
                      pa.array([np.unique(smallest[a:b]).view(np.int64) for a, b in zip(cuts, cuts[1:])], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_words", "body", "anchors"],
+                    names=["doc_id", "content", "n_words", "body", "anchors"],
                 )
 
-    return documents.mapInArrow(read, f"doc_id {kind}, n_words bigint, body string, anchors array<bigint>")
+    return documents.mapInArrow(read, f"doc_id {kind}, content bigint, n_words bigint, body string, anchors array<bigint>")
 
 
 def _candidate_windows(candidates: DataFrame, window: int) -> DataFrame:
-    """``window, doc_id`` of the windows whose anchor another document shares."""
+    """``window, doc_id, content`` of the windows whose anchor another document shares."""
     kind = candidates.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,16 +188,17 @@ def _candidate_windows(candidates: DataFrame, window: int) -> DataFrame:
                     shared = np.asarray(batch["anchors"][row + d].values).view(np.uint64)
                     found = np.unique(hashes[a:b][np.isin(smallest[a:b], shared)])
                     if len(found):
-                        ids = batch["doc_id"].take(pa.array(np.full(len(found), row + d)))
-                        yield pa.RecordBatch.from_arrays([_signed(found), ids], names=["window", "doc_id"])
+                        at = pa.array(np.full(len(found), row + d))
+                        yield pa.RecordBatch.from_arrays([_signed(found), *(batch[k].take(at) for k in ROW)], names=["window", *ROW])
 
-    return candidates.select("doc_id", "text", "anchors").mapInArrow(read, f"window bigint, doc_id {kind}")
+    return candidates.select(*ROW, "text", "anchors").mapInArrow(read, f"window bigint, doc_id {kind}, content bigint")
 
 
 def _stretches(candidates: DataFrame, window: int) -> DataFrame:
-    """Runs of repeated windows with one first document: ``owner, doc_id, start, n_words, words``.
+    """Runs of repeated windows with one first document: ``owner, doc_id, content, start, n_words, words``.
 
-    ``candidates`` has ``doc_id, text, found`` with ``found`` the repeated windows of the document and their owners.
+    ``candidates`` has ``doc_id, content, text, found`` with ``found`` the repeated windows of the text and their owners. Runs of
+    more than ``STRETCH_WORDS`` are cut; a piece begins ``window - 1`` words before the last one's end, so no window is cut.
     """
     kind = candidates.schema["doc_id"].dataType.simpleString()
 
@@ -213,35 +219,48 @@ def _stretches(candidates: DataFrame, window: int) -> DataFrame:
                         continue
                     breaks = np.flatnonzero((np.diff(at) > 1) | (owners[1:] != owners[:-1])) + 1
                     low, high = at[np.r_[0, breaks]], at[np.r_[breaks - 1, len(at) - 1]] + window
+                    low, high, owned = _cut(low, high, owners[np.r_[0, breaks]], window)
                     base = int(words.bounds[d])
                     texts = [
                         words.data[words.start[base + x] : words.end[base + y - 1]].tobytes() for x, y in zip(low, high)
                     ]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(owners[np.r_[0, breaks]]), batch["doc_id"].take(pa.array(np.full(len(low), row + d))),
+                        [pa.array(owned), *(batch[k].take(pa.array(np.full(len(low), row + d))) for k in ROW),
                          pa.array(low.astype(np.int64)), pa.array((high - low).astype(np.int64)), pa.array(texts, pa.binary())],
-                        names=["owner", "doc_id", "start", "n_words", "words"],
+                        names=["owner", *ROW, "start", "n_words", "words"],
                     )
 
-    return candidates.select("doc_id", "text", "found").mapInArrow(
-        read, f"owner {kind}, doc_id {kind}, start bigint, n_words bigint, words binary"
+    return candidates.select(*ROW, "text", "found").mapInArrow(
+        read, f"owner {kind}, doc_id {kind}, content bigint, start bigint, n_words bigint, words binary"
     )
 
 
+def _cut(low: np.ndarray, high: np.ndarray, owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    step = STRETCH_WORDS - window + 1
+    pieces = np.maximum(-(-(high - low - window + 1) // step), 1)
+    inside = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = np.repeat(low, pieces) + inside * step
+    return first, np.minimum(first + STRETCH_WORDS, np.repeat(high, pieces)), np.repeat(owner, pieces)
+
+
 def _confirmed(stretches: DataFrame, window: int) -> DataFrame:
-    """``doc_id, spans`` after streaming the stretches of later documents through the automata of first ones."""
+    """``doc_id, content, spans`` after streaming the stretches of later documents through the automata of first ones."""
     kind = stretches.schema["doc_id"].dataType.simpleString()
     later = F.col("doc_id") > F.col("owner")
     reference, stream = stretches.where(~later), stretches.where(later)
     # The number of shards follows the size of the reference; one row is read.
     size = reference.agg(F.sum("n_words")).first()[0] or 0
     shards = max(1, -(-int(size) // SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("owner"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("owner", "part"), F.lit(shards)).alias("shard")
+    # The reference of a very long first document goes to several shards, and what names it is streamed through all.
+    parts = reference.groupBy("owner").agg(F.ceil(F.sum("n_words") / SHARD_WORDS).cast("int").alias("parts"))
+    reference = reference.join(parts, "owner").withColumn("part", F.pmod(F.xxhash64("content", "start"), F.col("parts")).cast("int"))
+    stream = stream.join(parts, "owner").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     stream, reference = stream.select("*", shard), reference.select("*", shard)
     load = stream.groupBy("shard").agg(F.ceil(F.sum("n_words") / STREAM_WORDS).cast("int").alias("salts"))
-    salted = stream.join(load, "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts")).cast("int"))
+    salted = stream.join(load, "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id", "content", "start"), F.col("salts")).cast("int"))
     copied = reference.join(load, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    columns = ("shard", "salt", "doc_id", "start", "words")
+    columns = ("shard", "salt", *ROW, "start", "words")
     dealt = copied.select(*columns, F.lit(True).alias("known")).union(salted.select(*columns, F.lit(False)))
 
     def match(group: pa.Table) -> pa.Table:
@@ -249,56 +268,62 @@ def _confirmed(stretches: DataFrame, window: int) -> DataFrame:
         left, right = group.filter(pc.field("known")), group.filter(~pc.field("known"))
         for document, words in sorted(zip(left["doc_id"].to_pylist(), left["words"].to_pylist()), key=lambda x: x[0]):
             automaton.add([symbols.setdefault(w, len(symbols)) for w in words.split()], document)
-        ids, spans = [], []
-        for document, start, words in zip(right["doc_id"].to_pylist(), right["start"].to_pylist(), right["words"].to_pylist()):
+        rows, spans = [], []
+        for at, (document, start, words) in enumerate(zip(right["doc_id"].to_pylist(), right["start"].to_pylist(), right["words"].to_pylist())):
             found = automaton.spans([symbols.get(w, -1) for w in words.split()], window, document)
             if found:
-                ids.append(document)
+                rows.append(at)
                 spans.append([{"start": a + start, "end": b + start} for a, b in found])
-        return pa.table({
-            "doc_id": pa.array(ids, right.schema.field("doc_id").type),
-            "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        })
+        at = pa.array(rows, pa.int64())
+        kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.table({**{k: right[k].take(at) for k in ROW}, "spans": pa.array(spans, kinds)})
 
-    matched = dealt.groupBy("shard", "salt").applyInArrow(
-        match, f"doc_id {kind}, spans array<struct<start:bigint,end:bigint>>"
+    # The join by shard would do for the groups, but then all salts of a shard were in one task.
+    matched = dealt.repartition("shard", "salt").groupBy("shard", "salt").applyInArrow(
+        match, f"doc_id {kind}, content bigint, spans array<struct<start:bigint,end:bigint>>"
     )
-    return matched.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return matched.groupBy(*ROW).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeated_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """``(scanned, spans)``: a row ``doc_id, n_words, body, copy_of`` for every document, and the words to remove.
+    """``(scanned, spans)``: a row ``doc_id, content, n_words, body, copy_of`` for every document, and the words to remove.
 
     ``copy_of`` is the smallest id with the same words, for documents of at least ``window`` words; ``spans`` has
-    ``doc_id, spans`` for documents that are no such copies themselves.
+    ``doc_id, content, spans`` for documents that are no such copies themselves.
     """
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = _rows(documents, doc_id, text)
     scanned = materialise(scan(rows, window), "scan")
-    # Ids of rows that share one differ in their words perhaps; spans then belong to no single text.
     long = scanned.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    firsts = long.groupBy("body").agg(F.min("doc_id").alias("copy_of"))
+    # Of rows with the same words one goes on, a text among those of the smallest id.
+    heads = long.groupBy("body").agg(F.min(F.struct(*ROW)).alias("head")).select("body", "head.*")
+    firsts = heads.select("body", F.col("doc_id").alias("copy_of"))
     settled = materialise(
-        scanned.select("doc_id", "n_words", "body", F.when((F.col("n_words") >= window) & F.col("doc_id").isNotNull(), F.col("body")).alias("_body"))
+        scanned.select(*ROW, "n_words", "body", F.when((F.col("n_words") >= window) & F.col("doc_id").isNotNull(), F.col("body")).alias("_body"))
         .join(firsts.withColumnRenamed("body", "_body"), "_body", "left")
         .drop("_body"),
         "copies",
     )
-    heads = long.join(firsts, "body").where("doc_id = copy_of").select("doc_id", F.explode("anchors").alias("anchor"))
-    anchors = materialise(heads, "anchors")
+    # Repeated rows have the same anchors; as a set they count once.
+    anchors = materialise(long.join(heads, ["body", *ROW]).select(*ROW, F.explode("anchors").alias("anchor")), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    listed = anchors.join(shared.select("anchor"), "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    candidates = materialise(rows.join(listed, "doc_id"), "candidates")
+    listed = anchors.join(shared.select("anchor"), "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("anchors"))
+    candidates = materialise(rows.join(listed, list(ROW)), "candidates")
     windows = materialise(_candidate_windows(candidates, window), "windows")
     first = windows.groupBy("window").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")).where("owner < high")
     found = (
         windows.join(first.select("window", "owner"), "window")
-        .groupBy("doc_id")
+        .groupBy(*ROW)
         .agg(F.collect_set(F.struct("window", "owner")).alias("found"))
     )
-    stretches = materialise(_stretches(candidates.drop("anchors").join(found, "doc_id"), window), "stretches")
+    stretches = materialise(_stretches(candidates.drop("anchors").join(found, list(ROW)), window), "stretches")
     return settled, _confirmed(stretches, window)
 
 
+def _rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    body = F.col(f"`{text}`").cast("binary")
+    return documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("content"), body.alias("text"))
+
+
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     merged: list[tuple[int, int]] = []
     for start, end in sorted((s["start"], s["end"]) for s in spans):
@@ -315,11 +340,12 @@ def strip_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     Documents that lose nothing keep their text as it was; columns and their order do not change.
     """
     settled, spans = repeated_spans(documents, doc_id, text, window)
-    copies = settled.where("doc_id > copy_of").select("doc_id", F.lit(True).alias("copy")).distinct()
-    changes = spans.join(copies, "doc_id", "full")
+    copies = settled.where("doc_id > copy_of").select(*ROW, F.lit(True).alias("copy")).distinct()
+    changes = spans.join(copies, list(ROW), "full")
     names = documents.columns
-    packed = documents.select(F.col(doc_id).alias("doc_id"), F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), F.col(text).cast("binary").alias("text"))
-    touched = packed.join(changes, "doc_id", "left")
+    body = F.col(f"`{text}`").cast("binary")
+    packed = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("content"), F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), body.alias("text"))
+    touched = packed.join(changes, list(ROW), "left")
     kept = _without(touched.select("row", "text", "spans", "copy"), window)
     return kept.select(*(F.coalesce("new_text", F.col("row")[n]).cast(documents.schema[n].dataType).alias(n) if n == text else F.col("row")[n].alias(n) for n in names))
 
@@ -347,30 +373,28 @@ def _without(rows: DataFrame, window: int) -> DataFrame:
 def removal_digests(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every document, without moving texts that stay whole."""
     settled, spans = repeated_spans(documents, doc_id, text, window)
-    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = _rows(documents, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, before, after = [], [], []
+            removed, after = [], []
             for body, gone in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
                 kept = (body or b"").split()
-                before.append(hashlib.sha256(b" ".join(kept)).hexdigest())
                 size = len(kept)
                 for start, end in reversed(_merged(gone)):
                     del kept[start:end]
                 removed.append(size - len(kept))
                 after.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(before), pa.array(removed, pa.int64()), pa.array(after)],
-                names=["doc_id", "body", "n_removed", "kept_sha256"],
+                [*(batch[k] for k in ROW), pa.array(removed, pa.int64()), pa.array(after)], names=[*ROW, "n_removed", "kept_sha256"]
             )
 
-    changed = rows.join(spans, "doc_id").mapInArrow(digest, f"doc_id {kind}, body string, n_removed bigint, kept_sha256 string")
-    changed = changed.dropDuplicates(["doc_id", "body"])
+    changed = rows.join(spans, list(ROW)).mapInArrow(digest, f"doc_id {kind}, content bigint, n_removed bigint, kept_sha256 string")
+    changed = changed.dropDuplicates(list(ROW))
     whole = F.coalesce(F.col("doc_id") > F.col("copy_of"), F.lit(False))
     nothing = hashlib.sha256(b"").hexdigest()
-    return settled.join(changed, ["doc_id", "body"], "left").select(
+    return settled.join(changed, list(ROW), "left").select(
         "doc_id",
         "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
