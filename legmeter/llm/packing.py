@@ -1,7 +1,8 @@
 """Pack documents into sequences of a fixed length by cutting stock.
 
 Each document is encoded once and cut into full sequences and one rest. Pieces are counted by size class
-(``UNIT`` ids wide, rounded up). On the driver, column generation solves the linear program over patterns of
+(``UNIT`` ids wide, rounded up); short pieces of one length are bundled first, as many as fill whole units, so that
+rounding costs next to nothing at any length. On the driver, column generation solves the linear program over patterns of
 classes: its size depends on the number of classes alone, never on the corpus. A knapsack dynamic program prices
 new patterns. Pattern counts are rounded down, what is left over is packed first-fit by falling size, and each
 class's pieces take the places of their class in the order of their rank. Ranks come from a running count inside
@@ -13,6 +14,7 @@ often as they stand; an empty corpus gives no rows; further columns are not read
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,15 +30,26 @@ from legmeter.session import materialise
 
 SEQUENCE = 4096
 UNIT = 8
+#: Pieces up to this many ids are counted by their length and bundled.
+SHORT = 256
 #: Column generation stops when the linear program is within this share of its lower bound.
 GAP = 1e-3
 _MOST_PIVOTS = 6000
 
-_PIECE = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, size_class int, local_rank bigint"
+_PIECE = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, kind int, local_rank bigint"
+
+
+def _short(sequence: int, unit: int) -> int:
+    """A bundle of ``unit`` short pieces must fit."""
+    return min(SHORT, sequence // unit)
 
 
 def cut_documents(documents: DataFrame, tokenizer: str, doc_id: str, text: str, sequence: int, unit: int) -> DataFrame:
-    """Pieces of all documents, with their class and their rank in that class among the pieces of the same task."""
+    """Pieces of all documents, with their kind and their rank in that kind among the pieces of the same task.
+
+    The kind of a short piece is its length, that of others their size class after ``SHORT``.
+    """
+    short = _short(sequence, unit)
     plain = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
 
@@ -44,22 +57,22 @@ def cut_documents(documents: DataFrame, tokenizer: str, doc_id: str, text: str,
         encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         ranks: Counter[int] = Counter()
         for batch in batches:
-            of_row, out = [], {n: [] for n in ("start", "length", "ids_crc32", "doc_tokens", "size_class", "local_rank")}
+            of_row, out = [], {n: [] for n in ("start", "length", "ids_crc32", "doc_tokens", "kind", "local_rank")}
             for row, body in enumerate(batch["text"]):
                 ids = memoryview(encode.encode_document(body.as_py()))
                 tokens = len(ids) // 4
                 for start in range(0, tokens, sequence):
                     length = min(sequence, tokens - start)
-                    size_class = -(-length // unit)
+                    piece = length if length <= short else short - (-length // unit)
                     of_row.append(row)
                     out["start"].append(start)
                     out["length"].append(length)
                     out["ids_crc32"].append(zlib.crc32(ids[4 * start : 4 * (start + length)]))
                     out["doc_tokens"].append(tokens)
-                    out["size_class"].append(size_class)
-                    out["local_rank"].append(ranks[size_class])
-                    ranks[size_class] += 1
-            long = {n: pa.array(v, pa.int32() if n == "size_class" else pa.int64()) for n, v in out.items()}
+                    out["kind"].append(piece)
+                    out["local_rank"].append(ranks[piece])
+                    ranks[piece] += 1
+            long = {n: pa.array(v, pa.int32() if n == "kind" else pa.int64()) for n, v in out.items()}
             long["part"] = pa.array([part] * len(of_row), pa.int32())
             names = [x.split()[0] for x in _PIECE.split(", ")]
             yield pa.RecordBatch.from_arrays(
@@ -143,32 +156,53 @@ def pack(
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece."""
     spark = documents.sparkSession
     pieces = materialise(cut_documents(documents, tokenizer, doc_id, text, sequence, unit), "pieces")
-    counts = pieces.groupBy("size_class", "part").agg(F.count("*").alias("n"))
-    capacity = -(-sequence // unit)
+    counts = pieces.groupBy("kind", "part").agg(F.count("*").alias("n"))
+    totals = {row.kind: row.n for row in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # a row a kind
+    short, capacity = _short(sequence, unit), -(-sequence // unit)
     demand = np.zeros(capacity, dtype=np.int64)
-    for row in counts.groupBy("size_class").agg(F.sum("n").alias("n")).collect():  # a row per class
-        demand[row.size_class - 1] = row.n
+    kinds = []
+    for kind, n in sorted(totals.items()):
+        length = min(kind, short)
+        # So many pieces of one length fill whole units; what is left over is rounded up.
+        each = unit // math.gcd(length, unit) if kind <= short else 1
+        bundles = n // each if kind <= short else 0
+        bundle_class, rest_class = each * length // unit, -(-kind // unit) if kind <= short else kind - short
+        first = int(demand[bundle_class - 1]) if bundles else 0
+        if bundles:
+            demand[bundle_class - 1] += bundles
+        kinds.append((kind, each, bundles, bundle_class, first, rest_class, int(demand[rest_class - 1])))
+        demand[rest_class - 1] += n - bundles * each
     places, taken, sequences = [], [0] * (capacity + 1), 0
     for times, held in cutting_stock(demand, capacity):
         for size, n in held.items():
             places.append((size, taken[size], taken[size] + times * n, n, sequences))
             taken[size] += times * n
         sequences += times
-    # At most a few places for each class, whatever the corpus.
+    # At most a few places for each class, and a row for each kind, whatever the corpus.
     layout = spark.createDataFrame(
         places or [], "size_class int, from_rank bigint, to_rank bigint, each bigint, first_sequence bigint"
     )
-    before = Window.partitionBy("size_class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("size_class", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    ranked = pieces.join(offsets, ["size_class", "part"]).withColumn("rank", F.col("earlier") + F.col("local_rank"))
+    named = spark.createDataFrame(
+        kinds or [], "kind int, bundled bigint, bundles bigint, bundle_class int, bundle_rank bigint, rest_class int, rest_rank bigint"
+    )
+    before = Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("kind", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    ranked = pieces.join(offsets, ["kind", "part"]).withColumn("nth", F.col("earlier") + F.col("local_rank")).join(F.broadcast(named), "kind")
+    inside = F.col("nth") < F.col("bundles") * F.col("bundled")
+    ranked = ranked.withColumns(
+        {
+            "size_class": F.when(inside, F.col("bundle_class")).otherwise(F.col("rest_class")),
+            "rank": F.when(inside, F.col("bundle_rank") + F.expr("nth div bundled")).otherwise(F.col("rest_rank") + F.col("nth") - F.col("bundles") * F.col("bundled")),
+        }
+    )
     at = ranked.join(F.broadcast(layout), "size_class").where("rank >= from_rank and rank < to_rank")
     placed = at.withColumn("sequence_id", F.expr("first_sequence + (rank - from_rank) div each"))
-    inside = (
+    along = (
         Window.partitionBy("sequence_id")
-        .orderBy(F.desc("size_class"), "rank")
+        .orderBy(F.desc("size_class"), "rank", "nth")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return placed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-        F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"),
+        F.coalesce(F.sum("length").over(along), F.lit(0)).alias("offset"),
     )
