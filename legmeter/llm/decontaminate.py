@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legmeter.llm.words import PLAIN, Words, document_runs
+from legmeter.llm.words import PLAIN, Shared, Words, document_runs
 
 TERMS = 4096
 DIMENSIONS = 128
@@ -288,7 +288,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     found = []
     for low in range(0, asked.num_rows, MOST_ITEMS):
         items = load_items(asked.slice(low, MOST_ITEMS), table, weights, known, share)
-        shared = documents.sparkSession.sparkContext.broadcast((weights, table, items))
+        shared = Shared(documents.sparkSession, (weights, table, items))
         found.append(rows.mapInArrow(_searcher(shared), schema))
     return reduce(DataFrame.unionAll, found)
 
@@ -419,6 +419,10 @@ def _best_window(words: Words, own: np.ndarray, wide: int, d: int, low: int, hig
 
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``documents`` in which no benchmark item was found; columns do not change."""
-    gone = leaks(documents, benchmark, doc_id, text).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``documents`` in which no benchmark item was found; columns do not change.
+
+    The text alone decides, told by a 64-bit hash: rows that share an id, or have none, go or stay each by its own text.
+    """
+    key = F.xxhash64(F.col(f"`{text}`").cast("binary"))
+    found = leaks(documents.select(key.alias("_key"), F.col(f"`{text}`").alias("_text")), benchmark, "_key", "_text")
+    return documents.join(found.select(F.col("doc_id").alias("_gone")).distinct(), key == F.col("_gone"), "left_anti")

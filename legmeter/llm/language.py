@@ -1,11 +1,10 @@
 """Language identification: averaged embeddings of hashed subwords under a linear softmax, trained in numpy.
 
 Subwords are the 2- to 4-byte strings of the text with ASCII letters folded, white space kept as one of its
-bytes (so word starts and ends count). A text is the average of its subwords' embeddings. Because the model is
-linear after the average, embedding and output layer fold into one table of class scores per bucket, and a whole
-text costs one histogram and one matrix product. Training runs on the driver over a bounded sample: at most
-about ``per_language`` documents of each language, chosen by a hash of the document id, each sent as the
-histogram of its whole text. A held-back fifth of the sample sets the temperature and the score below which a
+bytes (so word starts and ends count). A text is the average of its subwords' embeddings, so a whole text costs one
+histogram and two small matrix products. Training runs on the driver over a bounded sample: at most about
+``per_language`` documents of each language and ``MOST_SAMPLES`` in all, chosen by a hash of the document id, each sent
+as the histogram of its whole text. Every label that the sample holds can be predicted. A held-back fifth of the sample sets the temperature and the score below which a
 prediction is marked as rejected.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; every other text gets a learned
@@ -23,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legmeter.llm.words import LOWER, SPACE, arrow_texts
+from legmeter.llm.words import LOWER, SPACE, Shared, arrow_texts
+from legmeter.session import materialise
 
 UNKNOWN = "und"
 #: log2 of the number of subword buckets.
 BUCKET_BITS = 15
-#: Bound of the training sample per language, and of the number of languages.
+#: Bounds of the training sample: documents of one language, and all together.
 PER_LANGUAGE = 1500
-MOST_LANGUAGES = 256
+MOST_SAMPLES = 12_000
 #: Bytes looked at in one go.
 _STEP = 1 << 20
 _FOLD = LOWER.copy()
@@ -64,14 +64,15 @@ def _documents(column: pa.Array) -> Iterator[np.ndarray]:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray
+    embed: np.ndarray
+    out: np.ndarray
     bias: np.ndarray
     temperature: float
     reject_below: float
 
     def scores(self, histograms: np.ndarray) -> np.ndarray:
         total = histograms.sum(axis=1, keepdims=True)
-        logits = (histograms @ self.table) / np.maximum(total, 1) + self.bias
+        logits = (histograms @ self.embed) / np.maximum(total, 1) @ self.out + self.bias
         logits = logits / self.temperature
         logits -= logits.max(axis=1, keepdims=True)
         odds = np.exp(logits)
@@ -79,14 +80,17 @@ class LanguageModel:
 
 
 def training_sample(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Documents of each language whose id hashes below a share that leaves about ``per_language`` of them."""
+    """Documents of each language whose id hashes below a share that leaves about ``per_language`` of them.
+
+    All together are at most about ``MOST_SAMPLES``: the more languages there are, the fewer of each.
+    """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"), F.xxhash64(F.col(doc_id)).alias("draw")
     )
-    # A row per language.
-    shares = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    keep = F.pmod("draw", F.lit(1 << 30)) < F.ceil(F.lit(float(per_language) * (1 << 30)) / F.col("n"))
-    return rows.join(F.broadcast(shares), "lang").where(keep)
+    shares = materialise(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # a row per language
+    each = min(per_language, MOST_SAMPLES / max(1, shares.count()))
+    keep = F.pmod("draw", F.lit(1 << 30)) < F.ceil(F.lit(each * (1 << 30)) / F.col("n"))
+    return rows.join(shares, "lang").where(keep)
 
 
 def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, least_steps: int = 1500, rate: float = 2.0, batch: int = 64, seed: int = 7) -> LanguageModel | None:
@@ -111,7 +115,7 @@ def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, least_steps:
     if not found.num_rows:
         return None
     languages = sorted(set(found["lang"].to_pylist()))
-    target = np.array([languages.index(x) for x in found["lang"].to_pylist()])
+    target = np.searchsorted(languages, found["lang"].to_pylist())
     shares = []
     for buckets, counts in zip(found["buckets"], found["counts"]):
         place, weight = np.asarray(buckets.values), np.asarray(counts.values).astype(np.float32)
@@ -141,9 +145,9 @@ def train(sample: DataFrame, dimension: int = 16, epochs: int = 30, least_steps:
                 place, weight = shares[r]
                 # Buckets are distinct within a document. Shares are small, so embeddings move faster.
                 embed[place] -= (50 * step) * np.outer(weight, back[at])
-    model = LanguageModel(languages, embed @ out, bias, 1.0, 0.0)
+    model = LanguageModel(languages, embed, out, bias, 1.0, 0.0)
     check = np.flatnonzero(held) if held.any() else learn
-    logits = np.stack([shares[r][1] @ model.table[shares[r][0]] for r in check]) + bias
+    logits = np.stack([shares[r][1] @ embed[shares[r][0]] for r in check]) @ out + bias
     best = None
     for temperature in np.geomspace(0.05, 20, 61):
         scaled = logits / temperature
@@ -172,7 +176,7 @@ def predict(documents: DataFrame, model: LanguageModel | None, doc_id: Column, t
         return rows.select(
             *(f.name for f in kept), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")
         )
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # 2**BUCKET_BITS rows of one float per language
+    shared = Shared(documents.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value

@@ -20,6 +20,7 @@ not read. Tokens are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legmeter.llm.words import LOWER, Words, document_runs, kept_by_process, mix
+from legmeter.llm.words import LOWER, Shared, Words, document_runs, kept_by_process, mix
 from legmeter.session import materialise
 
 HEAD, CLASSES = 1536, 512
@@ -220,7 +221,7 @@ class Trainer:
 
 def train_round(training: DataFrame, words: Vocabulary, start: Parameters, seed: int) -> Parameters:
     """One round over all texts of ``training``: steps in every task, then the mean by tokens seen."""
-    shared = training.sparkSession.sparkContext.broadcast((words, start))
+    shared = Shared(training.sparkSession, (words, start))
     columns = [f"v{k}" for k in range(DIMENSIONS)]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +261,7 @@ def normalisers(p: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def score_documents(documents: DataFrame, key: list[str], counts: DataFrame, words: Vocabulary, model: Parameters, name: str) -> DataFrame:
     """Columns ``key`` of ``documents`` with ``n_tokens, n_known, train_tokens, base_score, score``."""
-    shared = documents.sparkSession.sparkContext.broadcast((words, model))
+    shared = Shared(documents.sparkSession, (words, model))
     fields = [f for f in documents.schema if f.name in key]
     base_floor = math.log10(words.total + SMOOTHING * (words.distinct + 1))
 
@@ -322,7 +323,6 @@ def score_documents(documents: DataFrame, key: list[str], counts: DataFrame, wor
 
 def score_corpus(documents: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on the documents that are not ``held_out`` and score all of them."""
-    spark = documents.sparkSession
     rows = documents.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("binary").alias("text"))
     training = rows.where(~F.col("held_out"))
     counts = materialise(count_tokens(training), "counts")
@@ -330,5 +330,4 @@ def score_corpus(documents: DataFrame, held_out: Column, doc_id: str = "doc_id",
     draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(10))
     model = train_round(training.where(draw == 0), words, initial(words), 1)
     model = train_round(training, words, model, 2)
-    name = f"{spark.sparkContext.applicationId}-{id(model)}-{words.total}"
-    return score_documents(rows, ["doc_id", "held_out"], counts, words, model, name)
+    return score_documents(rows, ["doc_id", "held_out"], counts, words, model, uuid.uuid4().hex)

@@ -29,9 +29,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fold(modulus: int):
-    """crc32 of the document id as text, by a modulus; a null id counts as 0."""
-    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)), F.lit(0))
+def _fold(modulus: int, of_null: int):
+    """crc32 of the document id as text, by a modulus; what a null id counts as is never held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)), F.lit(of_null))
 
 
 @_query
@@ -41,7 +41,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.score_corpus(_table(spark, sf_dir, "documents"), _fold(10) == 0)
+    return language_model.score_corpus(_table(spark, sf_dir, "documents"), _fold(10, 1) == 0)
 
 
 @_query
@@ -70,8 +70,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    sample = language.training_sample(documents.where(_fold(3) != 1), "doc_id", "text", "lang")
-    return language.predict(documents, language.train(sample), F.col("doc_id"), held_out=_fold(3) == 1)
+    sample = language.training_sample(documents.where(_fold(3, 0) != 1), "doc_id", "text", "lang")
+    return language.predict(documents, language.train(sample), F.col("doc_id"), held_out=_fold(3, 0) == 1)
 
 
 @_query
@@ -146,10 +146,11 @@ texts as materialized (
 def _rule(rule: quality.Rule) -> str:
     bounds = [f"{rule.measure} >= {rule.low!r}"] if rule.low is not None else []
     bounds += [f"{rule.measure} <= {rule.high!r}"] if rule.high is not None else []
-    return f"coalesce(n_words < {rule.from_words} or ({' and '.join(bounds)}), true)"
+    unless = " or stop_exempt" if rule.unless else ""
+    return f"coalesce(n_words < {rule.from_words} or ({' and '.join(bounds)}){unless}, true)"
 
 
-_STOPS = ", ".join(sorted({f"'{form}'" for words in quality.STOP_WORDS.values() for w in words for form in (w, w.capitalize())}))
+_STOPS = ", ".join(f"'{form}'" for form in quality.stop_forms())
 SQL["op1_quality_rules"] = rf"""
 with {_ROWS.strip()}, windows as (
   select k, i, [word, lead(word, 1) over w, lead(word, 2) over w, lead(word, 3) over w, lead(word, 4) over w] as five
@@ -165,7 +166,9 @@ with {_ROWS.strip()}, windows as (
     cast(length(list_aggregate(words, 'string_agg', '')) as bigint) as chars,
     cast(length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
     [x for x in string_split(body, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines,
-    coalesce(r.n, 0) as n_repeat_words, coalesce(s.n, 0) as n_stops
+    coalesce(r.n, 0) as n_repeat_words, coalesce(s.n, 0) as n_stops,
+    length(regexp_replace(body, '\P{{Latin}}+', '', 'g')) as latin_letters,
+    length(regexp_replace(body, '(\p{{Latin}}|[^\p{{L}}\p{{M}}])+', '', 'g')) as other_letters
   from texts left join repeated r using (k) left join stops s using (k)
 ), ratios as (
   select doc_id, n_words, coalesce(chars, 0) as word_chars, n_symbols,
@@ -173,10 +176,11 @@ with {_ROWS.strip()}, windows as (
     n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
     chars / nullif(n_words, 0) as mean_word_length, n_symbols / nullif(n_words, 0) as symbol_ratio,
     n_stops / nullif(n_words, 0) as stop_ratio,
-    (len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0) as duplicate_line_ratio
+    (len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0) as duplicate_line_ratio,
+    n_stops = 0 or other_letters > latin_letters as stop_exempt
   from measured
 )
-select *, not base_failed and {' and '.join(_rule(rule) for rule in quality.RULES)} as kept from ratios
+select * exclude (stop_exempt), not base_failed and {' and '.join(_rule(rule) for rule in quality.RULES)} as kept from ratios
 """
 SQL["op7_substring_dedup"] = f"""
 with {_ROWS.strip()}, windows as (

@@ -7,12 +7,15 @@ length; equal words always get equal hashes.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -37,6 +40,17 @@ def kept_by_process(name: str) -> dict:
     return vars(sys).setdefault("_legmeter_kept", {}).setdefault(name, {})
 
 
+class Shared:
+    """A broadcast of any value, also of the library's own classes, which workers need not be able to import."""
+
+    def __init__(self, spark: SparkSession, value) -> None:
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._sent.value)
+
+
 def _powers(base: int, size: int) -> np.ndarray:
     powers = kept_by_process("powers")
     known = powers.get(base)
