@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from legmeter.llm.encoding import encoder
-from tests.llm.conftest import cases
+from texts import cases
 
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 PARTS = ["ab", "Über", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "'s", "don't", "12", "!!", "###", "<|endoftext|>", "e\u0301", "ΣΑΣ", "İ", "漢字", "\x1c", "x."]

@@ -95,7 +95,10 @@ def test_stop_words_are_asked_only_of_texts_that_the_list_covers(spark):
 
     latin = "bcdfghjklm"
     clean = [text("абвгдежзиклмн"), text("αβγδεζηθικλμ"), text("ابتثجحخدذرز"), text("कखगघचछजझाि"), text("가나다라마바사아"), text(latin.upper(), "THE", "AND")]
-    table = spark.createDataFrame(list(enumerate([*clean, text(latin), text(latin.upper())])), "doc_id bigint, text string")
+    # Texts without any listed stop word are in no listed language; those with a few are, and have too few.
+    clean += [text(latin), text(latin.upper())]
+    junk = [text(latin) + " the", text(latin.upper()) + " UND", text(latin) + " Le"]
+    table = spark.createDataFrame(list(enumerate([*clean, *junk])), "doc_id bigint, text string")
     kept = {r.doc_id for r in quality.judge(table).where("kept").collect()}
     assert kept == set(range(len(clean))) == {r.doc_id for r in quality.filter_documents(table).collect()}
 
