@@ -115,14 +115,14 @@ def test_storing_all_runs_at_once_is_storing_them_in_turn(spark, tmp_path):
     tables = stand_ins(spark, "/root/testdata/sf0.001").tables
     start = datetime(1998, 1, 12)
     grid = SlotGrid(start, start + timedelta(hours=2), timedelta(hours=2), timedelta(hours=4))
-    config = JobConfig("osrm", grid.window, UPDATED_AT)
+    config = JobConfig("osrm", grid.window, UPDATED_AT, line="1")
     for k in range(grid.runs):
         window = RunWindow(start + k * grid.every, start + k * grid.every + grid.span)
-        one = JobConfig("osrm", window, UPDATED_AT)
+        one = JobConfig("osrm", window, UPDATED_AT, line="1")
         store(spark, run(tables, one, GreatCircle(8.0)), str(tmp_path / "turn"), one)
     store(spark, run_slots(tables, config, grid, GreatCircle(8.0)), str(tmp_path / "once"), config)
     for name, (table, _, layout, _) in TARGETS.items():
-        if name in ("leg_distances", "food_distances", "artisan_distances", "refill_distances"):
+        if name in ("leg_distances", "refill_distances"):
             kept = [spark_rows(snapshots.read(spark, str(tmp_path / way / table), layout)) for way in ("turn", "once")]
             assert kept[0] == kept[1] and sum(kept[0][1].values()) > 0
 
