@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from compare import duck_rows, spark_rows
 from pyspark.sql import functions as F
+from texts import SCHEMA
 
 import corpus_pipeline
 from legmeter.llm import (
@@ -533,6 +534,17 @@ def test_every_stage_decides_on_what_the_last_one_kept(spark):
     assert {r.doc_id for r in whole.collect()} == ids(after)
 
 
+def test_quality_query_asks_stop_words_of_every_text(spark, tmp_path):
+    stuff = [" ".join(f"{c}{k}x" for k in range(60)) for c in ("bcd", "ж", "한", "ZZ")]
+    rows = [*enumerate([*stuff, stuff[0] + " the", stuff[1] + " the and"]), (6, stuff[0][:90]), (7, stuff[0] + " the AND"), (None, stuff[1])]
+    spark.createDataFrame([(i, t, None, "s", 0) for i, t in rows], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op1_quality_rules"](spark, str(tmp_path))
+    assert {r.doc_id for r in found.where("kept").collect()} == {5, 6, 7}
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert spark_rows(found) == duck_rows(con, SQL["op1_quality_rules"])
+
+
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op7_substring_dedup"])
 def test_sql_agrees_on_awkward_rows(spark, awkward, tmp_path, name):
     awkward.write.parquet(str(tmp_path / "documents.parquet"))
