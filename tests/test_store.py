@@ -244,3 +244,23 @@ def test_object_id(spark, value, wanted):
     from legmeter.functions.text import is_object_id
 
     assert spark.createDataFrame([(value,)], "v string").select(is_object_id(F.col("v")).alias("ok")).first().ok is wanted
+
+
+def test_slices_stay_few_as_a_table_grows(spark, tmp_path):
+    """Slices grow with the table, so that lists, plans and shuffles stay bounded; large ones are written by several tasks."""
+    path = str(tmp_path / "legs")
+    for distance in (1.0, 2.0):
+        state = snapshots.merge(spark, path, numbered(spark, range(4000), distance), LEG_KEYS, LEG_LAYOUT, "_id_oid", 2)
+        assert state.rows == 4000 and len(state.slices) <= 1.5 * snapshots.MOST_SLICES
+    assert {r.distance for r in snapshots.read(spark, path, LEG_LAYOUT).collect()} == {2.0}
+    assert snapshots.cut_rows(20_000, 1_000_000) == 20_000 and snapshots.cut_rows(20_000, 10**12) == snapshots.SLICE_ROWS
+    assert snapshots.task_count(snapshots.SLICE_ROWS, 10_000_000) == 20 and snapshots.task_count(snapshots.SLICE_ROWS, 10**11) == 20_000
+
+
+def test_ids_outside_all_slices_reach_none(spark, tmp_path):
+    path = str(tmp_path / "legs")
+    state = snapshots.merge(spark, path, numbered(spark, [*range(100, 200), *range(500, 600)]), LEG_KEYS, LEG_LAYOUT, "_id_oid", 50)
+    ids = spark.createDataFrame([("1",), ("350",), ("601",), (None,), ("zz",)], "_id_oid string")
+    assert len(state.slices) >= 3 and snapshots.read_near(spark, path, LEG_LAYOUT, ids, "_id_oid").count() == 0
+    near = snapshots.read_near(spark, path, LEG_LAYOUT, spark.createDataFrame([("150",), ("1",)], "_id_oid string"), "_id_oid")
+    assert 0 < near.count() < 200 and near.where("_id_oid = '150'").count() == 1
