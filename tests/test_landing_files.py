@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
 from datetime import datetime
@@ -118,3 +119,18 @@ def test_a_changed_file_replaces_its_rows_and_a_repeated_run_changes_nothing(spa
     assert stored(spark, store) == [("b", 0.9), ("c", 0.5)]
     assert snapshots.read(spark, f"{store}/rejects", feed.REJECT_LAYOUT).count() == 0
     assert snapshots.read(spark, f"{store}/files", feed.LEDGER_LAYOUT).count() == 2
+
+
+def test_a_lot_is_stored_by_several_tasks_and_stays_one_slice(spark, tmp_path, monkeypatch):
+    """Rows that fill less than a slice are sorted in parts, so that none has to spill; compressed files are read as others."""
+    monkeypatch.setattr(snapshots, "TASK_ROWS", 100)
+    folder, store = tmp_path / "feed", str(tmp_path / "store")
+    folder.mkdir()
+    rows = [order(str(i), f"{i % 7 + 1}T{i % 24:02}") for i in range(600)]
+    land(folder, "one.json", rows[:300])
+    land(tmp_path, "two.json", rows[300:], ["broken"])
+    (folder / "two.json.gz").write_bytes(gzip.compress((tmp_path / "two.json").read_bytes()))
+    assert feed.take_in(spark, str(folder), store, "1998-01-03") == feed.Intake(2, 600, 1)
+    (kept,) = snapshots.snapshot(spark, f"{store}/feed").slices
+    assert kept.rows == 600 and len(kept.folders) >= 4
+    assert {row[0] for row in stored(spark, store)} == {str(i) for i in range(600)}
