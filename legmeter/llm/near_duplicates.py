@@ -16,6 +16,8 @@ be only ``2 * mean length / COMMON`` of them, and at most the ``MOST_COMMON`` mo
 4. Large buckets that still hold several classes are divided by their next band. Parts that have become small give
    their pairs of different classes. What stays large is a family of texts much alike: its members are compared block by
    block, all with all but those that are in one class already, by products of their shingle tables.
+5. Large buckets that hold several classes even then are compared block by block as a whole. So all that agree in a
+   band are in one class or have been compared, however large the bucket; pivots and divisions only save comparisons.
 
 Defined results: a text without a word (or a null one) is a class of its own; the class id is the smallest id
 of the class; rows that share an id are one document, near to whatever one of them is near to; rows with a null
@@ -283,6 +285,25 @@ def _families(parts: DataFrame) -> DataFrame:
     return parts.select("doc_id", "class").distinct().join(labels, "doc_id")
 
 
+def undecided(members: DataFrame, labels: DataFrame, families: DataFrame | None) -> DataFrame:
+    """``doc_id, class, family`` of the large buckets that still hold several classes; the family is the bucket.
+
+    Buckets that lie within one of the ``families`` have been compared, and of equal buckets one is enough.
+    """
+    large = members.where(F.col("n") > BUCKET).select("key", "doc_id").join(labels.select(F.col("head").alias("doc_id"), F.col("label").alias("class")), "doc_id", "left")
+    large = large.withColumn("class", F.coalesce("class", "doc_id"))
+    if families is None:
+        large = large.withColumn("family", F.lit(None).cast("string"))
+    else:
+        large = large.join(families.select("doc_id", F.col("family").cast("string")), "doc_id", "left")
+    compared = (F.count("family") == F.count("*")) & (F.min("family") == F.max("family"))
+    # The sum is one of decimals, which cannot overflow.
+    held = F.struct(F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("sum"), F.count("*").alias("n")).alias("held")
+    buckets = large.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), compared.alias("compared"), held)
+    chosen = buckets.where("low <> high and not coalesce(compared, false)").groupBy("held").agg(F.min("key").alias("key"))
+    return large.drop("family").join(chosen.select("key"), "key").select("doc_id", "class", F.col("key").alias("family"))
+
+
 def _dealt_blocks(members: DataFrame) -> DataFrame:
     """``doc_id, class, family, first, second``: each member in all pairs of blocks that must be compared.
 
@@ -469,22 +490,23 @@ def near_duplicate_classes(documents: DataFrame, doc_id: str = "doc_id", text: s
     texts = materialise(rows.join(needed.hint("merge"), "doc_id"), "texts")
     links = materialise(verified_links(pairs, texts, common, similarity), "links")
     labels = connected_classes(links, "hub", "doc").withColumnRenamed("node", "head")
-    further = None
     if not crowded.isEmpty():
         others, parts = later_pairs(members, labels.select(F.col("head").alias("doc_id"), F.col("label").alias("class")))
         more = verified_links(materialise(_agreeing(others, heads), "pairs"), texts, common, similarity)
+        families = None
         if not parts.isEmpty():
-            more = more.unionByName(family_links(materialise(_families(parts), "families"), texts, common, similarity))
+            families = materialise(_families(parts), "families")
+            more = more.unionByName(family_links(families, texts, common, similarity))
         more = materialise(more.dropDuplicates(["hub", "doc"]), "links")
-        further = _between_classes(more, labels)
+        labels = _followed(labels, more)
+        rest = materialise(undecided(members, labels, families), "undecided")
+        if not rest.isEmpty():
+            last = materialise(family_links(rest, texts, common, similarity).dropDuplicates(["hub", "doc"]), "links")
+            labels, more = _followed(labels, last), more.unionByName(last)
         links = materialise(links.unionByName(more).dropDuplicates(["hub", "doc"]), "links")
     degree = links.select(F.explode(F.array("hub", "doc")).alias("head")).groupBy("head").agg(F.count("*").alias("n_links"))
     classes = firsts.join(labels, "head", "left").join(degree, "head", "left")
     classes = classes.select("body", F.coalesce("label", "head").alias("class"), "n_links")
-    if further is not None and not further.isEmpty():
-        # Only classes that later links join are followed once more.
-        joined = connected_classes(further, "one", "two").select(F.col("node").alias("class"), F.col("label").alias("_joined"))
-        classes = classes.join(joined, "class", "left").select("body", F.coalesce("_joined", "class").alias("class"), "n_links")
     found = signed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("body")).alias("body")).join(classes, "body", "left")
     return found.select("doc_id", F.coalesce("class", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
@@ -498,6 +520,17 @@ def _between_classes(links: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(sides.where("one <> two").select("one", "two").distinct(), "between")
 
 
+def _followed(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``head, label`` after further links; only classes that they join are followed once more."""
+    further = _between_classes(links, labels)
+    if further.isEmpty():
+        return labels
+    joined = materialise(connected_classes(further, "one", "two").select(F.col("node").alias("label"), F.col("label").alias("_joined")), "joined")
+    known = labels.join(joined, "label", "left").select("head", F.coalesce("_joined", "label").alias("label"))
+    new = joined.join(labels.select(F.col("head").alias("label")), "label", "left_anti").select(F.col("label").alias("head"), F.col("_joined").alias("label"))
+    return materialise(known.unionByName(new), "labels")
+
+
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``documents`` whose id is the smallest of its class; columns do not change."""
     classes = near_duplicate_classes(documents, doc_id, text, similarity)

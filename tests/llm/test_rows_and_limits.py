@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_text_operators import SMALL, by_count, plain_removal, rows_of, split
 from texts import invented
 
@@ -294,3 +295,20 @@ def test_whole_texts_are_read_as_runs():
 
     runs = [words.documents for _, words in document_runs(pa.array([b"a b", b"c" * 50, b""]), 10)]
     assert sum(runs) == 3
+
+
+def test_near_copies_in_a_large_bucket_meet_whatever_its_other_bands(spark, monkeypatch):
+    """All documents agree in one band and in no other, so neither pivots nor divisions bring the pairs together."""
+    pairs = [(i, invented(900 + i, 120)) for i in range(30)]
+    rows = [row for i, text in pairs for row in ((i, text), (100 + i, text + " end"))]
+
+    def signed(documents, common):
+        bands = F.array(F.lit(1).cast("bigint"), *(F.xxhash64("doc_id", F.lit(k)) for k in range(1, 2 * near_duplicates.BANDS)))
+        samples = F.array_repeat(F.lit(7), 2 * near_duplicates.BANDS * near_duplicates.ROWS)
+        return documents.select("doc_id", F.md5("text").cast("binary").alias("body"), samples.alias("samples"), bands.alias("bands"))
+
+    monkeypatch.setattr(near_duplicates, "signatures", signed)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    found = near_duplicates.near_duplicate_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == {i: i % 100 for i, _ in rows}
+    assert all(r.n_links == 1 for r in found)
