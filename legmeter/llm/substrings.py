@@ -42,6 +42,8 @@ SHARD_WORDS = 100_000
 STREAM_WORDS = 400_000
 #: Words of one piece of a passage.
 STRETCH_WORDS = 20_000
+#: Bytes of text whose words and windows a task has in memory at a time.
+_RUN_BYTES = 1 << 19
 #: What tells a row's text from others: rows that share an id are cut each by its own text.
 ROW = ("doc_id", "content")
 
@@ -160,7 +162,7 @@ def scan(documents: DataFrame, window: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, words in document_runs(batch["text"]):
+            for row, words in document_runs(batch["text"], _RUN_BYTES):
                 first, smallest = _window_anchors(words, window)
                 cuts = np.searchsorted(first, words.bounds)
                 yield pa.RecordBatch.from_arrays(
@@ -180,7 +182,7 @@ def _candidate_windows(candidates: DataFrame, window: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, words in document_runs(batch["text"]):
+            for row, words in document_runs(batch["text"], _RUN_BYTES):
                 hashes, first = words.windows(window)
                 _, smallest = _window_anchors(words, window)
                 cuts = np.searchsorted(first, words.bounds)
@@ -204,7 +206,7 @@ def _stretches(candidates: DataFrame, window: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, words in document_runs(batch["text"]):
+            for row, words in document_runs(batch["text"], _RUN_BYTES):
                 hashes, first = words.windows(window)
                 cuts = np.searchsorted(first, words.bounds)
                 for d, (a, b) in enumerate(zip(cuts, cuts[1:])):

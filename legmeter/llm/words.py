@@ -29,7 +29,7 @@ _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
 #: Bytes hashed at a time; bounds the temporary arrays, whatever the length of a text.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 17
 
 
 def kept_by_process(name: str) -> dict:

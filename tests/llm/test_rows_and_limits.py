@@ -7,12 +7,16 @@ import os
 import random
 import subprocess
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_text_operators import SMALL, by_count, plain_removal, rows_of, split
 from texts import invented
 
@@ -312,3 +316,22 @@ def test_near_copies_in_a_large_bucket_meet_whatever_its_other_bands(spark, monk
     found = near_duplicates.near_duplicate_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.class_id for r in found} == {i: i % 100 for i, _ in rows}
     assert all(r.n_links == 1 for r in found)
+
+
+def test_scans_for_passages_hold_little_text_at_a_time():
+    """Words and windows of a batch of any size are worked out for a bounded piece of it."""
+    taken = SimpleNamespace(schema=T.StructType().add("doc_id", T.LongType()), mapInArrow=lambda read, kind: read)
+    texts = [f"w{i % 997} x{i % 89} " * 500 for i in range(1600)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary())], names=["doc_id", "content", "text"])
+    read = substrings.scan(taken, 50)
+    wanted = [len(t.split()) for t in texts]
+    sum(b.num_rows for b in read(iter([batch])))
+    tracemalloc.start()
+    try:
+        found = [n for b in read(iter([batch])) for n in b["n_words"].to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == wanted
+    assert peak < 40e6 and batch.nbytes > 6e6
