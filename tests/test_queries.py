@@ -7,7 +7,7 @@ from compare import connect, duck_rows, spark_rows
 from handmade import SF_DIR
 
 from legmeter.catalog.oracle import oracle_sql
-from legmeter.catalog.queries import QUERIES
+from legmeter.catalog.queries import QUERIES, upserted
 
 ORACLE = oracle_sql()
 
@@ -39,3 +39,19 @@ def test_entry_runs():
 
     assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", ["upsert_market", "upsert_food", "upsert_artisan", "upsert_refill"])
+def test_upserted_batches_are_priced_once(spark, name):
+    """The batch is read for its keys and for its rows; neither reading prices it again."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_k_from_lon" not in plan
+
+
+def test_upserted_keeps_the_rows_of_both_sides(spark):
+    layout = "_id_oid string, distance_type string, distance bigint"
+    target = spark.createDataFrame([("1", "osrm", 5), ("1", "gps", 6), (None, "osrm", 7), ("x", None, 8)], layout)
+    batch = spark.createDataFrame([("1", "osrm", 1), ("1", "osrm", 1), (None, "osrm", 2)], layout)
+    found = upserted(target, batch, ["_id_oid", "distance_type"]).collect()
+    wanted = [("1", "osrm", 1), ("1", "osrm", 1), (None, "osrm", 2), ("1", "gps", 6), (None, "osrm", 7), ("x", None, 8)]
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
