@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, time, timedelta
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,23 +76,50 @@ LINES = {
 }
 
 
-def line_sums(line: Line, distances: DataFrame, tables: Tables, window: RunWindow | None) -> DataFrame:
-    """State rows of ``distances`` (with ``sign``), over the orders of ``window`` or over all."""
+def line_sums(lines: Line | tuple[Line, ...], distances: DataFrame, tables: Tables, windows: RunWindow | list[RunWindow] | None) -> DataFrame:
+    """State rows of ``distances`` (with ``sign``), over the orders of ``windows`` or over all.
+
+    Several lines may be asked for if they differ in nothing but which orders count: they share the reading and the join.
+    """
+    lines = lines if isinstance(lines, tuple) else (lines,)
+    line = lines[0]
     orders = getattr(tables, line.orders)
-    delivered, cancelled = F.col(line.delivered), F.col(line.cancelled)
-    if window is not None:
-        orders = in_days(orders, window).filter(effective_within(delivered, cancelled, window))
-    kept = orders.filter(line.counts()).select("_id_oid", F.col(line.warehouse).alias("warehouse_id"), F.to_date(effective_date(delivered, cancelled)).alias("day"))
+    if windows is not None:
+        orders = in_windows(line, orders, windows)
+    orders = orders.filter(reduce(or_, (each.counts() for each in lines)))
+    names = F.array_compact(F.array(*(F.when(each.counts(), F.lit(each.name)) for each in lines)))
+    effective = effective_date(F.col(line.delivered), F.col(line.cancelled))
+    named = F.explode(names) if len(lines) > 1 else F.lit(line.name)
+    kept = orders.select("_id_oid", F.col(line.warehouse).alias("warehouse_id"), F.to_date(effective).alias("day"), named.alias("line"))
     if line.table != "leg_distances":
         # Trips count only at warehouses with a known zone.
         kept = kept.join(tables.warehouse_locations.select(F.col("warehouse").alias("warehouse_id")), "warehouse_id", "left_semi")
     # A null would be a key that replaces nothing; nobody asks for the averages of no warehouse.
     kept = kept.where("warehouse_id is not null")
-    kinds = {value: F.coalesce("distance_type", F.lit("")) if line.table == "leg_distances" else F.lit(value) for value in line.values}
-    values = F.array(*(F.struct(kind.alias("kind"), F.round(F.col(value) * UNIT).cast("long").alias("value")) for value, kind in kinds.items()))
-    rows = distances.join(kept, "_id_oid").select("warehouse_id", "day", "sign", F.inline(values)).where("value is not null")
-    sums = rows.groupBy("warehouse_id", "day", "kind").agg(F.sum(F.col("value") * F.col("sign")).alias("total"), F.sum("sign").cast("long").alias("count"))
-    return sums.select(F.lit(line.name).alias("line"), *STATE_LAYOUT.names[1:])
+    rows = distances.where(F.coalesce(*line.values).isNotNull()).join(kept, "_id_oid")
+    kinds = [F.coalesce("distance_type", F.lit("")).alias("kind")] if line.table == "leg_distances" else []
+    rows = rows.select("line", "warehouse_id", "day", "sign", *kinds, *(F.round(F.col(v) * UNIT).cast("long").alias(v) for v in line.values))
+    # One row for all kinds of a trip: they part after they have been summed. A kind without any value has no sum.
+    known = {v: F.when(F.col(v).isNotNull(), F.col("sign")) for v in line.values}
+    pairs = [F.struct(F.sum(F.col(v) * sign).alias("total"), F.sum(sign).cast("long").alias("count")).alias(v) for v, sign in known.items()]
+    sums = rows.groupBy("line", "warehouse_id", "day", *(["kind"] if kinds else [])).agg(*pairs)
+    kind = {v: F.col("kind") if kinds else F.lit(v) for v in line.values}
+    parted = F.array(*(F.struct(kind[v].alias("kind"), F.col(f"{v}.total"), F.col(f"{v}.count")) for v in line.values))
+    return sums.select("line", "warehouse_id", "day", F.inline(parted)).where("total is not null").select(*STATE_LAYOUT.names)
+
+
+def in_windows(line: Line, orders: DataFrame, windows: RunWindow | list[RunWindow]) -> DataFrame:
+    """The orders of a line whose effective date falls in one of ``windows``."""
+    windows = [windows] if isinstance(windows, RunWindow) else windows
+    return in_days(orders, *windows).filter(reduce(or_, (effective_within(F.col(line.delivered), F.col(line.cancelled), w) for w in windows)))
+
+
+def _sharing() -> list[tuple[Line, ...]]:
+    """The lines, together if they read the same columns of the same tables."""
+    found: dict[tuple, list[Line]] = {}
+    for line in LINES.values():
+        found.setdefault((line.table, line.orders, line.warehouse, line.delivered, line.cancelled, line.values), []).append(line)
+    return [tuple(lines) for lines in found.values()]
 
 
 def refresh(spark: SparkSession, tables: Tables, results: str, window: RunWindow | None = None) -> snapshots.Snapshot:
@@ -114,14 +142,9 @@ def refresh(spark: SparkSession, tables: Tables, results: str, window: RunWindow
     except LookupError:
         changed = {name: snapshots.difference(spark, f"{base}/{name}", layouts[name], 0, newest[name]) for name in layouts}
         anew = True
-    sums = [line_sums(line, changed[line.table], tables, None if anew else window) for line in LINES.values()]
+    sums = [line_sums(lines, changed[lines[0].table], tables, None if anew else window) for lines in _sharing()]
     delta = reduce(DataFrame.unionByName, sums).where("total != 0 or count != 0")
-    if not anew:
-        known = snapshots.read(spark, path, STATE_LAYOUT).withColumnsRenamed({name: f"_{name}" for name in STATE_LAYOUT.names})
-        same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in STATE_KEYS])
-        joined = delta.join(known, same, "left")
-        delta = joined.select(*STATE_KEYS, *((F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in ("total", "count")))
-    return snapshots.merge(spark, path, delta, STATE_KEYS, STATE_LAYOUT, "day", notes=newest, anew=anew)
+    return snapshots.merge(spark, path, delta, STATE_KEYS, STATE_LAYOUT, "day", notes=newest, anew=anew, added=("total", "count"))
 
 
 def read_state(spark: SparkSession, results: str) -> DataFrame:
@@ -150,7 +173,7 @@ def averages(spark: SparkSession, tables: Tables, results: str, name: str, windo
     known = read_state(spark, results).where((F.col("line") == name) & (F.col("day") >= F.lit(first.date())) & (F.col("day") < F.lit(last.date())))
     sums = known.select(*STATE_LAYOUT.names)
     for part in parts:
-        orders = in_days(getattr(tables, line.orders), part).filter(effective_within(F.col(line.delivered), F.col(line.cancelled), part))
+        orders = in_windows(line, getattr(tables, line.orders), part)
         near = tables.near(line.table, orders, "_id_oid").withColumn("sign", F.lit(1))
         sums = sums.unionByName(line_sums(line, near, tables, part))
     if name == "water":

@@ -115,3 +115,12 @@ def test_missing_runs_take_the_kept_averages(spark, tables, tmp_path):
         numbers = [c for c in plain[name].columns if c.endswith("_avg") or c == "avg_distance"]
         both = [spark_rows(f[name].withColumns({c: F.round(c, 6) for c in numbers})) for f in (kept, plain)]
         assert both[0] == both[1]
+
+
+def test_lines_of_the_same_tables_share_one_join(spark, tables, tmp_path, monkeypatch):
+    root, asked, plain = str(tmp_path), [], averages.line_sums
+    monkeypatch.setattr(averages, "line_sums", lambda lines, *a: asked.append([line.name for line in lines]) or plain(lines, *a))
+    store(spark, {name: getattr(tables, name) for name in READ_AGAIN}, root, JobConfig("osrm", WINDOW, UPDATED_AT), tables)
+    assert asked == [["market", "water"], ["food"], ["artisan"]]
+    monkeypatch.undo()
+    assert spark_rows(averages.read_state(spark, root)) == summed_anew(spark, tables, root)

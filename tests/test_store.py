@@ -264,3 +264,27 @@ def test_ids_outside_all_slices_reach_none(spark, tmp_path):
     assert len(state.slices) >= 3 and snapshots.read_near(spark, path, LEG_LAYOUT, ids, "_id_oid").count() == 0
     near = snapshots.read_near(spark, path, LEG_LAYOUT, spark.createDataFrame([("150",), ("1",)], "_id_oid string"), "_id_oid")
     assert 0 < near.count() < 200 and near.where("_id_oid = '150'").count() == 1
+
+
+def test_a_first_merge_looks_for_nothing_and_stores_the_layout_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "legs")
+    rows = legs(spark, [("7", "osrm", 1, 1.0), ("7", "osrm", 2, 1.5), (None, "osrm", 1, 4.0), ("x", None, 1, None)])
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "upsert", lambda *a: 1 / 0)
+        state = snapshots.merge(spark, path, rows, LEG_KEYS, LEG_LAYOUT, "_id_oid", 2)
+    assert spark_rows(snapshots.read(spark, path, LEG_LAYOUT)) == spark_rows(rows)
+    assert (state.slices[0].least, state.slices[-1].most) == ("", "x")
+    folder = f"{path}/data/{state.slices[0].folders[0]}"
+    assert spark.read.parquet(folder).columns == LEG_LAYOUT.names  # the key's text is not stored beside the key
+
+
+def test_numbers_are_added_to_the_row_of_the_same_key(spark, tmp_path):
+    path = str(tmp_path / "sums")
+    layout = T.StructType([T.StructField("place", T.StringType()), T.StructField("day", T.IntegerType()), T.StructField("total", T.LongType())])
+    add = lambda rows: snapshots.merge(spark, path, spark.createDataFrame(rows, layout), ["place", "day"], layout, "day", 2, added=["total"])
+    first = add([("a", day, day) for day in range(6)] + [(None, 3, 7), ("b", None, 5)])
+    second = add([("a", 1, 10), (None, 3, -7), ("b", None, 1), ("c", 1, 2)])
+    wanted = [("a", day, day + 10 * (day == 1)) for day in range(6)] + [(None, 3, 0), ("b", None, 6), ("c", 1, 2)]
+    assert spark_rows(snapshots.read(spark, path, layout)) == spark_rows(spark.createDataFrame(wanted, layout))
+    kept = {f for s in first.slices for f in s.folders} & {f for s in second.slices for f in s.folders}
+    assert kept and second.rows == len(wanted)
