@@ -172,10 +172,9 @@ def averages(spark: SparkSession, tables: Tables, results: str, name: str, windo
     (first, last), parts = _edges(window)
     known = read_state(spark, results).where((F.col("line") == name) & (F.col("day") >= F.lit(first.date())) & (F.col("day") < F.lit(last.date())))
     sums = known.select(*STATE_LAYOUT.names)
-    for part in parts:
-        orders = in_windows(line, getattr(tables, line.orders), part)
-        near = tables.near(line.table, orders, "_id_oid").withColumn("sign", F.lit(1))
-        sums = sums.unionByName(line_sums(line, near, tables, part))
+    if parts:
+        near = tables.near(line.table, in_windows(line, getattr(tables, line.orders), parts), "_id_oid").withColumn("sign", F.lit(1))
+        sums = sums.unionByName(line_sums(line, near, tables, parts))
     if name == "water":
         sums = sums.where(F.col("kind") == ROAD)
     sums = sums.where(in_warehouses(F.col("warehouse_id"), warehouses))

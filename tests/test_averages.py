@@ -124,3 +124,15 @@ def test_lines_of_the_same_tables_share_one_join(spark, tables, tmp_path, monkey
     assert asked == [["market", "water"], ["food"], ["artisan"]]
     monkeypatch.undo()
     assert spark_rows(averages.read_state(spark, root)) == summed_anew(spark, tables, root)
+
+
+def test_both_ends_of_a_window_are_read_at_once(spark, tables, tmp_path):
+    root, near = str(tmp_path), []
+    store(spark, {"leg_distances": tables.leg_distances}, root, JobConfig("osrm", WINDOW, UPDATED_AT), tables)
+    by_row = stored_tables(spark, tables, root)
+    counted = Tables(lambda name: getattr(tables, name), lambda *a: near.append(a[0]) or by_row.near(*a))
+    window = RunWindow("1998-01-05 07:30:00", "1998-01-20 01:00:00")
+    found = averages.averages(spark, counted, root, "market", window).where("avg_distance is not null")
+    wanted = missing.avg_distance_market(by_row, window, ("all",)).where("avg_distance is not null and warehouse_id is not null")
+    rows = [{r[0]: round(r[1], 6) for r in df.select("warehouse_id", "avg_distance").collect()} for df in (found, wanted)]
+    assert rows[0] == rows[1] and rows[0] and near == ["leg_distances"]
